@@ -92,7 +92,7 @@ def skew_join(
     if how == "full" or how == ("right" if hot == "left" else "left"):
         # A repeated row finds its heavy key in at least one slice, so the
         # copies that met an empty slice are not unmatched rows.
-        joined = joined.where(~(F.col("_heavy") & F.col("_in_hot").isNull()) | F.col("_heavy").isNull())
+        joined = joined.where(~F.coalesce("_heavy", F.lit(False)) | F.col("_in_hot").isNotNull())
     return joined.drop("_lslice", "_rslice", "_heavy", "_in_hot")
 
 
@@ -137,9 +137,11 @@ def _sliced(df: DataFrame, keys: Sequence[str], marks: DataFrame) -> DataFrame:
     """
     hashed = [f.name for f in df.schema.fields if _hashable(f.dataType)]
     same = _all([F.col(k).eqNullSafe(F.col(f"_hk{i}")) for i, k in enumerate(keys)])
-    spread = F.xxhash64(*hashed) + F.spark_partition_id() if hashed else F.spark_partition_id()
+    spread = F.spark_partition_id().cast("long")
+    if hashed:
+        spread = spread + F.xxhash64(*hashed).bitwiseAND(F.lit(0x7FFFFFFF))
     return (
-        df.withColumn("_spread", F.pmod(spread.bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(0x7FFFFFFF)))
+        df.withColumn("_spread", spread)
         .join(marks, same, "left")
         .withColumn("_slice", F.pmod("_spread", F.coalesce("_slices", F.lit(1))).cast("int"))
         .withColumn("_in_hot", F.lit(True))
