@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from loomwork.functions.text import AGE_EDGES, AGE_LABELS
 
@@ -28,7 +31,14 @@ def register(spark: SparkSession) -> None:
     """)
 
 
-@F.pandas_udf("string")
-def custom_upper(values: pd.Series) -> pd.Series:
-    """Pattern for logic Spark has no expression for: Arrow batches, never single rows."""
-    return values.str.upper()
+def arrow_upper() -> Callable[..., Column]:
+    """Pattern for logic Spark has no expression for: Arrow batches, never single rows.
+
+    The inner function travels to the workers by value, so they need no copy of
+    this package.
+    """
+
+    def upper(values: pd.Series) -> pd.Series:
+        return values.str.upper()
+
+    return F.pandas_udf(upper, StringType())

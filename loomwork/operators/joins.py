@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.operators.skew import GROUP_ROWS, skew_join
+from loomwork.operators.skew import GROUP_ROWS, equi_join, skew_join
 
 # Rows up to which a side counts as proven small.
 SMALL_ROWS = 20_000
@@ -34,13 +34,7 @@ def lookup(
     """
     if how in ("inner", "left") and is_small(dim, small_rows):
         pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
-        if all(l == r for l, r in pairs):
-            return fact.join(F.broadcast(dim), [l for l, _ in pairs], how)
-        same = None
-        for l, r in pairs:
-            term = fact[l] == dim[r]
-            same = term if same is None else same & term
-        return fact.join(F.broadcast(dim), same, how)
+        return equi_join(fact, F.broadcast(dim), pairs, how)
     return skew_join(fact, dim, on, how, hot="left", group_rows=group_rows)
 
 

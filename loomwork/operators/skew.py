@@ -74,7 +74,7 @@ def skew_join(
     cold_keys = [p[1] if hot == "left" else p[0] for p in pairs]
     heavy = heavy_keys(left if hot == "left" else right, hot_keys, group_rows)
     if heavy is None:
-        return _equi_join(left, right, pairs, how)
+        return equi_join(left, right, pairs, how)
 
     marks = F.broadcast(_renamed(heavy, hot_keys))
     if hot == "left":
@@ -83,7 +83,7 @@ def skew_join(
     else:
         left = _repeated(left, cold_keys, marks)
         right = _sliced(right, hot_keys, marks)
-    joined = _equi_join(
+    joined = equi_join(
         left.withColumnRenamed("_slice", "_lslice"),
         right.withColumnRenamed("_slice", "_rslice"),
         [*pairs, ("_lslice", "_rslice")],
@@ -112,9 +112,10 @@ _JOIN_NAMES = {
 }
 
 
-def _equi_join(
+def equi_join(
     left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str
 ) -> DataFrame:
+    """Join on ``(left, right)`` name pairs; a name shared by both sides is kept once."""
     if all(l == r for l, r in pairs):
         return left.join(right, [l for l, _ in pairs], how)
     shared = [l for l, r in pairs if l == r]

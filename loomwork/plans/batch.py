@@ -135,9 +135,7 @@ def run(spark: SparkSession, spec: BatchSpec) -> dict[str, DataFrame]:
     curated = enrich(munge(raw_customers), spec.run_ts)
     curated = curated.withColumn("agegroup", age_group("custage"))
 
-    joined = skew_join(
-        transactions, raw_customers.dropDuplicates(), [("custid", "id")], "inner", hot="left"
-    )
+    joined = skew_join(transactions, raw_customers, [("custid", "id")], "inner", hot="left")
     frames = {
         "customers": raw_customers,
         "transactions": transactions,

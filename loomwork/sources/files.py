@@ -54,9 +54,21 @@ def load(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     reader = reader.options(**_options(spec))
     paths = spec.path if isinstance(spec.path, str) else list(spec.path)
     df = reader.load(paths)
+    if (spec.mode or "").upper() in ("DROPMALFORMED", "FAILFAST"):
+        df = _judged_whole(df)
     return df.toDF(*spec.names) if spec.names else df
 
 
+def _judged_whole(df: DataFrame) -> DataFrame:
+    """Keep every column in the scan, so that a record is judged as a whole.
+
+    Readers only parse the columns a query needs; a count or a narrow select
+    would otherwise let through records that are malformed elsewhere.  The
+    condition is always true, which the optimizer cannot tell.
+    """
+    return df.where(F.pmod(F.xxhash64(*df.columns), F.lit(2)) < 2)
+
+
 def _options(spec: SourceSpec) -> dict[str, str]:
     given: dict[str, object] = {
         "sep": spec.sep,
@@ -69,9 +81,6 @@ def _options(spec: SourceSpec) -> dict[str, str]:
         "mergeSchema": True if spec.merge_schema else None,
         "multiLine": True if spec.multiline else None,
     }
-    if spec.format == "csv" and (spec.mode or "").upper() == "DROPMALFORMED":
-        # With column pruning a plain count() parses nothing and drops nothing.
-        given["columnPruning"] = False
     options = {k: _text(v) for k, v in given.items() if v is not None}
     return {**options, **spec.options}
 
