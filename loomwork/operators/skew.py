@@ -53,6 +53,8 @@ def skew_join(
     how: str = "inner",
     hot: str = "left",
     group_rows: int = GROUP_ROWS,
+    null_safe: bool = False,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join where a key of the ``hot`` side may hold any share of its rows.
 
@@ -62,6 +64,11 @@ def skew_join(
     ``group_rows`` and the other side repeats only its heavy-key rows, one per
     slice, so adaptive execution is not needed to balance the work.  Semi and
     anti joins first reduce the right side to its distinct keys.
+
+    ``null_safe`` lets null keys match each other.  ``counted_on`` names a
+    cheaper frame to count keys on, such as the scan the hot side is derived
+    from; it is refused for outer joins, which need the heavy keys to be
+    present on the hot side itself.
     """
     pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
     how = _JOIN_NAMES[how.lower().replace("_", "")]
@@ -72,22 +79,27 @@ def skew_join(
 
     hot_keys = [p[0] if hot == "left" else p[1] for p in pairs]
     cold_keys = [p[1] if hot == "left" else p[0] for p in pairs]
-    heavy = heavy_keys(left if hot == "left" else right, hot_keys, group_rows)
+    if counted_on is not None and how in ("left", "right", "full"):
+        raise ValueError("outer joins count keys on the hot side itself")
+    if counted_on is None:
+        counted_on = left if hot == "left" else right
+    heavy = heavy_keys(counted_on, hot_keys, group_rows)
     if heavy is None:
-        return equi_join(left, right, pairs, how)
+        return equi_join(left, right, pairs, how, null_safe)
 
     marks = F.broadcast(_renamed(heavy, hot_keys))
     if hot == "left":
         left = _sliced(left, hot_keys, marks)
-        right = _repeated(right, cold_keys, marks)
+        right = _repeated(right, cold_keys, marks, null_safe)
     else:
-        left = _repeated(left, cold_keys, marks)
+        left = _repeated(left, cold_keys, marks, null_safe)
         right = _sliced(right, hot_keys, marks)
     joined = equi_join(
         left.withColumnRenamed("_slice", "_lslice"),
         right.withColumnRenamed("_slice", "_rslice"),
         [*pairs, ("_lslice", "_rslice")],
         how,
+        null_safe,
     )
     if how == "full" or how == ("right" if hot == "left" else "left"):
         # A repeated row finds its heavy key in at least one slice, so the
@@ -113,15 +125,19 @@ _JOIN_NAMES = {
 
 
 def equi_join(
-    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str
+    left: DataFrame,
+    right: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    how: str,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join on ``(left, right)`` name pairs; a name shared by both sides is kept once."""
-    if all(l == r for l, r in pairs):
+    if all(l == r for l, r in pairs) and not null_safe:
         return left.join(right, [l for l, _ in pairs], how)
     shared = [l for l, r in pairs if l == r]
     renamed = right.withColumnsRenamed({n: f"_r_{n}" for n in shared})
     condition = _all(
-        [F.col(l) == F.col(f"_r_{r}" if l == r else r) for l, r in pairs]
+        [_same(l, f"_r_{r}" if l == r else r, null_safe) for l, r in pairs]
     )
     joined = left.join(renamed, condition, how)
     if not shared or how in ("left_semi", "left_anti"):
@@ -150,9 +166,11 @@ def _sliced(df: DataFrame, keys: Sequence[str], marks: DataFrame) -> DataFrame:
     )
 
 
-def _repeated(df: DataFrame, keys: Sequence[str], marks: DataFrame) -> DataFrame:
-    """Repeat heavy-key rows once per slice; a null key never joins, so stays single."""
-    same = _all([F.col(k) == F.col(f"_hk{i}") for i, k in enumerate(keys)])
+def _repeated(
+    df: DataFrame, keys: Sequence[str], marks: DataFrame, null_safe: bool
+) -> DataFrame:
+    """Repeat heavy-key rows once per slice; a null key that cannot match stays single."""
+    same = _all([_same(k, f"_hk{i}", null_safe) for i, k in enumerate(keys)])
     last = F.coalesce("_slices", F.lit(1)) - 1
     return (
         df.join(marks, same, "left")
@@ -166,6 +184,12 @@ def _renamed(heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
     return heavy.withColumnsRenamed({k: f"_hk{i}" for i, k in enumerate(keys)})
 
 
+def _same(left: str, right: str, null_safe: bool) -> Column:
+    if null_safe:
+        return F.col(left).eqNullSafe(F.col(right))
+    return F.col(left) == F.col(right)
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 

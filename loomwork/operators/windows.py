@@ -17,7 +17,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwork.operators.skew import GROUP_ROWS, heavy_keys, split_heavy
+from loomwork.operators.skew import GROUP_ROWS, heavy_keys, skew_join, split_heavy
 from loomwork.session import stage
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
@@ -164,11 +164,11 @@ def nth_value_rows(
     The values are made distinct before they are ranked, so neither a heavy key
     nor a large group of ties reaches one task.
     """
-    from loomwork.operators.skew import skew_join
-
     distinct = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
     wanted = nth_per_key(distinct, keys, [f"-{value}"], n)
-    return skew_join(df, wanted, [*keys, value], "left_semi", group_rows=group_rows)
+    return skew_join(
+        df, wanted, [*keys, value], "left_semi", group_rows=group_rows, null_safe=True
+    )
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
