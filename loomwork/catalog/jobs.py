@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomwork.catalog.registry import query
 from loomwork.plans.audit import Audit
-from loomwork.plans.batch import BatchSpec, csv_inputs, numbered, publish, run
+from loomwork.plans.batch import BatchSpec, csv_inputs, publish, run
 from loomwork.plans.configured import query_sources, run_activities
 from loomwork.session import scratch_path
 from loomwork.sources.sinks import SinkSpec, save
@@ -101,7 +101,7 @@ _JOINED = f"""
 @query(_JOINED)
 def batch_denormalised(t):
     """Raw customers joined with transactions, numbered by date."""
-    rows = numbered(_run(t)).select("txnid", "dt", "id", "custage", "sno")
+    rows = _run(t)["numbered"].select("txnid", "dt", "id", "custage", "sno")
     return rows.withColumns({c: F.col(c).cast("long") for c in ("txnid", "id")})
 
 

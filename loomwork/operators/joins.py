@@ -15,7 +15,7 @@ SMALL_ROWS = 20_000
 
 def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     """True when ``df`` has at most ``rows`` rows; stops reading once it has more."""
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+    return df.select(F.lit(1)).offset(rows).isEmpty()
 
 
 def lookup(

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.operators.windows import sort_columns
+from loomwork.operators.windows import shift_rows, sort_columns
 
 
 def money_sum(column: str, scale: int = 2) -> Column:
@@ -50,10 +50,10 @@ def change_over_periods(
     default: object = None,
 ) -> DataFrame:
     """Aggregate per key and period and put the previous period's value beside it."""
-    from loomwork.operators.windows import shift_rows
-
     (name, _), = measure.items()
     per_period = df.groupBy(*keys, *[c.alias(n) for n, c in period.items()]).agg(
         *[c.alias(n) for n, c in measure.items()]
     )
-    return shift_rows(per_period, keys, list(period), {prior: (name, 1, default)})
+    return shift_rows(
+        per_period, keys, list(period), {prior: (name, 1, default)}, counted_on=df
+    )

@@ -50,7 +50,7 @@ def profile(
     seed: int = 10,
     support: float = 0.4,
 ) -> Mapping[str, DataFrame]:
-    """The usual exploratory set, each still lazy."""
+    """The usual exploratory set."""
     return {
         "sample": sample_rows(df, fraction, seed),
         "summary": df.summary(),

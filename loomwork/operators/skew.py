@@ -23,13 +23,17 @@ def heavy_keys(
 ) -> DataFrame | None:
     """Keys with more than ``group_rows`` rows, or ``None`` when there are none.
 
-    Counts are combined map-side, so a hot key costs no more than any other.
-    A key only counts as heavy above ``total / MAX_HEAVY_KEYS`` rows, which
-    bounds the result to ``MAX_HEAVY_KEYS`` rows.
+    A table of ``group_rows`` rows or fewer has none, which a scan answers from
+    file footers.  Otherwise counts are combined map-side, so a hot key costs
+    no more than any other.  A key only counts as heavy above
+    ``total / MAX_HEAVY_KEYS`` rows, which bounds the result to
+    ``MAX_HEAVY_KEYS`` rows.
     """
+    total = df.count()
+    if total <= group_rows:
+        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    top, total = counts.agg(F.max("_rows"), F.sum("_rows")).first()
-    if top is None or top <= group_rows:
+    if counts.agg(F.max("_rows")).first()[0] <= group_rows:
         return None
     floor = max(group_rows, total // MAX_HEAVY_KEYS)
     slices = F.ceil(F.col("_rows") / F.lit(floor)).cast("int").alias("_slices")

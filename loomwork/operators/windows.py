@@ -57,8 +57,7 @@ def number_rows(
         return part.withColumn(name, F.row_number().over(window).cast("long"))
 
     def wide(part: DataFrame) -> DataFrame:
-        ranked = _rank_segments(part, keys, order, [], {"row": name})
-        return ranked
+        return _rank_segments(part, keys, order, [], {"row": name})
 
     return _per_key(df, keys, group_rows, plain, wide)
 
@@ -98,11 +97,13 @@ def shift_rows(
     order: Sequence[str],
     columns: Mapping[str, tuple[str, int, object]],
     group_rows: int = GROUP_ROWS,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Values of earlier (offset > 0) or later (offset < 0) rows of the same key.
 
     ``columns`` maps a new name to ``(column, offset, default)``; the default
-    stands where there is no such row.
+    stands where there is no such row.  ``counted_on`` names a cheaper frame to
+    count keys on, with at least as many rows per key.
     """
 
     def plain(part: DataFrame) -> DataFrame:
@@ -134,7 +135,7 @@ def shift_rows(
             )
         return result.drop("_n")
 
-    return _per_key(df, keys, group_rows, plain, wide)
+    return _per_key(df, keys, group_rows, plain, wide, counted_on)
 
 
 def top_per_key(
@@ -182,8 +183,9 @@ def _per_key(
     group_rows: int,
     plain: Callable[[DataFrame], DataFrame],
     wide: Callable[[DataFrame], DataFrame],
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
-    heavy = heavy_keys(df, keys, group_rows)
+    heavy = heavy_keys(df if counted_on is None else counted_on, keys, group_rows)
     if heavy is None:
         return plain(df)
     ordinary, large = split_heavy(df, keys, heavy)

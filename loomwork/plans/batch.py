@@ -6,7 +6,7 @@ or read, so unused frames cost nothing.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,34 +128,68 @@ def clean_transactions(txns: DataFrame) -> DataFrame:
     return keep_best(dated, ["txnid"], ["-dt", "-amt", "custid", "category", "product"])
 
 
-def run(spark: SparkSession, spec: BatchSpec) -> dict[str, DataFrame]:
-    """Declare every frame of the job, by name."""
-    raw_customers = load(spark, spec.customers)
-    transactions = clean_transactions(load(spark, spec.transactions))
-    curated = enrich(munge(raw_customers), spec.run_ts)
-    curated = curated.withColumn("agegroup", age_group("custage"))
-
-    joined = skew_join(transactions, raw_customers, [("custid", "id")], "inner", hot="left")
-    frames = {
-        "customers": raw_customers,
-        "transactions": transactions,
-        "curated": curated,
-        "age_by_profession": age_by_profession(curated, spec.min_profession_age),
-        "not_excluded": curated.where(F.col("agegroup") != spec.excluded_group).select(
-            "id", "custage", "curdt", "custfname", "year", "agegroup"
-        ),
-        "age_metrics": age_metrics(curated, spec.excluded_group, spec.min_group_age),
-        "masked": mask(raw_customers, {"custlname": "md5", "custfname": "md5"}),
-        "denormalised": joined,
-    }
-    statistics = profile(curated, [("custage", "custage")], ["custprofession", "agegroup"])
-    frames.update({f"profile_{name}": df for name, df in statistics.items()})
-    return frames
+class Frames(Mapping):
+    """Named frames, each declared when it is first asked for."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers = dict(makers)
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def run(spark: SparkSession, spec: BatchSpec) -> Frames:
+    """Declare the frames of the job."""
+    customers = load(spark, spec.customers)
+    raw_transactions = load(spark, spec.transactions)
+    transactions = clean_transactions(raw_transactions)
+    curated = enrich(munge(customers), spec.run_ts).withColumn("agegroup", age_group("custage"))
+
+    def denormalised() -> DataFrame:
+        return skew_join(
+            transactions,
+            customers,
+            [("custid", "id")],
+            "inner",
+            hot="left",
+            counted_on=raw_transactions,
+        )
+
+    def statistic(name: str) -> Callable[[], DataFrame]:
+        pairs, frequent = [("custage", "custage")], ["custprofession", "agegroup"]
+        return lambda: profile(curated, pairs, frequent)[name]
+
+    not_excluded = ["id", "custage", "curdt", "custfname", "year", "agegroup"]
+    return Frames(
+        {
+            "customers": lambda: customers,
+            "transactions": lambda: transactions,
+            "curated": lambda: curated,
+            "age_by_profession": lambda: age_by_profession(curated, spec.min_profession_age),
+            "not_excluded": lambda: curated.where(F.col("agegroup") != spec.excluded_group).select(
+                *not_excluded
+            ),
+            "age_metrics": lambda: age_metrics(curated, spec.excluded_group, spec.min_group_age),
+            "masked": lambda: mask(customers, {"custlname": "md5", "custfname": "md5"}),
+            "denormalised": denormalised,
+            "numbered": lambda: numbered(denormalised()),
+            **{f"profile_{n}": statistic(n) for n in ("sample", "summary", "pairs", "frequent")},
+        }
+    )
 
 
-def numbered(frames: Mapping[str, DataFrame]) -> DataFrame:
+def numbered(denormalised: DataFrame) -> DataFrame:
     """The denormalised rows with a surrogate key by date."""
-    return number_all(frames["denormalised"], ["dt", "txnid", "id", "custage"], "sno")
+    return number_all(denormalised, ["dt", "txnid", "id", "custage"], "sno")
 
 
 def publish(
