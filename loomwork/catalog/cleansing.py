@@ -193,11 +193,11 @@ def key_checks(t):
 @query("""
     SELECT 'l_quantity' AS x, 'l_extendedprice' AS y,
            round(corr(l_extendedprice, l_quantity), 6) AS correlation,
-           round(covar_samp(l_extendedprice, l_quantity) / 1000, 4) AS covariance
+           round(covar_samp(l_extendedprice, l_quantity), 4) AS covariance
     FROM lineitem
     UNION ALL
     SELECT 'l_quantity', 'l_discount', round(corr(l_discount, l_quantity), 6),
-           round(covar_samp(l_discount, l_quantity) / 1000, 4)
+           round(covar_samp(l_discount, l_quantity), 4)
     FROM lineitem
 """)
 def correlation_covariance(t):
@@ -206,7 +206,7 @@ def correlation_covariance(t):
         "x",
         "y",
         F.round("correlation", 6).alias("correlation"),
-        F.round(F.col("covariance") / 1000, 4).alias("covariance"),
+        F.round("covariance", 4).alias("covariance"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomwork.catalog.registry import query
+from loomwork.catalog.registry import portable, query
 from loomwork.functions.nested import pick
 from loomwork.operators.columns import (
     ColumnPlan,
@@ -79,13 +79,14 @@ def expr_flags(t):
     )
 
 
-@query("SELECT *, DATE '2002-01-01' AS loaddt, c_acctbal * 2 AS doubled FROM customer")
+@query("SELECT *, '2002-01-01' AS loaddt, c_acctbal * 2 AS doubled FROM customer")
 def all_plus_extras(t):
-    return t.customer.select(
+    extended = t.customer.select(
         "*",
         F.lit("2002-01-01").cast("date").alias("loaddt"),
         (F.col("c_acctbal") * 2).alias("doubled"),
     )
+    return portable(extended)
 
 
 @query("""
@@ -116,7 +117,7 @@ def named_columns(t):
 
 
 @query("""
-    SELECT o_orderkey, TRY_CAST(o_orderpriority AS INTEGER) AS whole,
+    SELECT o_orderkey, CAST(TRY_CAST(o_orderpriority AS INTEGER) AS DOUBLE) AS whole,
            TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS digit,
            CAST(o_totalprice AS FLOAT) AS price
     FROM orders
@@ -128,4 +129,4 @@ def selective_cast(t):
         F.substring("o_orderpriority", 1, 1).alias("digit"),
         F.col("o_totalprice").alias("price"),
     )
-    return cast_columns(text, {"whole": "int", "digit": "int", "price": "float"})
+    return portable(cast_columns(text, {"whole": "int", "digit": "int", "price": "float"}), "whole")

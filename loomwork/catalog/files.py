@@ -6,7 +6,7 @@ a source would deliver it, and returns what the reader under test makes of it.
 
 from pyspark.sql import functions as F
 
-from loomwork.catalog.registry import query
+from loomwork.catalog.registry import portable, query
 from loomwork.operators.evolve import combine
 from loomwork.session import scratch_path
 from loomwork.sources.files import (
@@ -265,7 +265,7 @@ def _drops(t, fmt, label):
 
 
 _DROPS_SQL = """
-    SELECT o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS o_custkey, o_totalprice,
+    SELECT o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN o_custkey::DOUBLE END AS o_custkey, o_totalprice,
            CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority
     FROM orders
 """
@@ -275,19 +275,22 @@ _DROP_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
 @query(_DROPS_SQL)
 def merge_schema_parquet(t):
     paths = _drops(t, "parquet", "merge-parquet")
-    return load(t.spark, SourceSpec("parquet", paths, merge_schema=True)).select(*_DROP_COLUMNS)
+    merged = load(t.spark, SourceSpec("parquet", paths, merge_schema=True))
+    return portable(merged.select(*_DROP_COLUMNS), "o_custkey")
 
 
 @query(_DROPS_SQL)
 def merge_schema_orc(t):
     paths = _drops(t, "orc", "merge-orc")
-    return load(t.spark, SourceSpec("orc", paths, merge_schema=True)).select(*_DROP_COLUMNS)
+    merged = load(t.spark, SourceSpec("orc", paths, merge_schema=True))
+    return portable(merged.select(*_DROP_COLUMNS), "o_custkey")
 
 
 @query(_DROPS_SQL)
 def merge_schema_json(t):
     paths = _drops(t, "json", "merge-json")
-    return load(t.spark, SourceSpec("json", paths)).select(*_DROP_COLUMNS)
+    merged = load(t.spark, SourceSpec("json", paths))
+    return portable(merged.select(*_DROP_COLUMNS), "o_custkey")
 
 
 @query(_DROPS_SQL)
@@ -298,7 +301,8 @@ def external_table_rebuilt(t):
     flat = scratch_path(t.spark, "rebuilt")
     for path in paths:
         save(load(t.spark, SourceSpec("orc", path)), SinkSpec("orc", flat, mode="append"))
-    return rebuild_external(t.spark, _table_name(base), flat).select(*_DROP_COLUMNS)
+    rebuilt = rebuild_external(t.spark, _table_name(base), flat)
+    return portable(rebuilt.select(*_DROP_COLUMNS), "o_custkey")
 
 
 _DRIFT_SQL = """

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomwork.catalog.registry import query
+from loomwork.catalog.registry import portable, query
 from loomwork.functions.dates import in_month, is_month_end, is_month_start
 from loomwork.operators.cleanse import is_not_numeric
 from loomwork.operators.metrics import dim_metrics, money_avg
@@ -56,18 +56,19 @@ def month_and_year(t):
 
 
 @query("""
-    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
+    SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
            CASE WHEN day(o_orderdate) = 1 THEN 'start' ELSE 'end' END AS edge
     FROM orders
     WHERE CAST(o_orderdate AS DATE) = last_day(o_orderdate) OR day(o_orderdate) = 1
 """)
 def month_edges(t):
     edges = t.orders.where(is_month_end("o_orderdate") | is_month_start("o_orderdate"))
-    return edges.select(
+    labelled = edges.select(
         "o_orderkey",
         F.to_date("o_orderdate").alias("day"),
         F.when(is_month_start("o_orderdate"), "start").otherwise("end").alias("edge"),
     )
+    return portable(labelled)
 
 
 @query("""

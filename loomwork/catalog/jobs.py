@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from loomwork.catalog.registry import query
+from loomwork.catalog.registry import portable, query
 from loomwork.plans.audit import Audit
 from loomwork.plans.batch import BatchSpec, csv_inputs, publish, run
 from loomwork.plans.configured import query_sources, run_activities
@@ -51,7 +51,7 @@ def _run(t):
 
 # The duplicate of each customer is younger, so the original survives.
 _CURATED = f"""
-    SELECT id, prof AS custprofession, custage, 'Retail' AS src, DATE '2024-03-05' AS curdt,
+    SELECT id, prof AS custprofession, custage, 'Retail' AS src, '2024-03-05' AS curdt,
            lname || ' is a ' || prof AS nameprof, lname AS custfname, 2024 AS "year", '24/03' AS curdtstr,
            '2024/03/05 00:00:00' AS dtfmt,
            CASE WHEN custage < 13 THEN 'Children' WHEN custage <= 18 THEN 'Teen' ELSE 'Adults' END AS agegroup
@@ -65,7 +65,7 @@ _CURATED = f"""
 @query(_CURATED)
 def batch_curated(t):
     rows = _run(t)["curated"].drop("loadts")
-    return rows.withColumn("id", F.col("id").cast("long"))
+    return portable(rows.withColumn("id", F.col("id").cast("long")))
 
 
 @query(f"""
@@ -87,11 +87,11 @@ def batch_age_metrics(t):
     out = scratch_path(t.spark, "batch-out")
     audit = Audit(t.spark, f"{out}/audit")
     publish(frames, {"age_metrics": SinkSpec("parquet", f"{out}/age_metrics")}, audit)
-    return t.spark.read.parquet(f"{out}/age_metrics")
+    return portable(t.spark.read.parquet(f"{out}/age_metrics"))
 
 
 _JOINED = f"""
-    SELECT o_orderkey AS txnid, CAST(o_orderdate AS DATE) AS dt, c_custkey AS id, age AS custage,
+    SELECT o_orderkey AS txnid, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dt, c_custkey AS id, age AS custage,
            row_number() OVER (ORDER BY o_orderdate, o_orderkey, c_custkey, age) AS sno
     FROM orders JOIN (SELECT c_custkey, unnest([{_AGE}, 5::SMALLINT]) AS age FROM customer)
       ON o_custkey = c_custkey
@@ -102,7 +102,7 @@ _JOINED = f"""
 def batch_denormalised(t):
     """Raw customers joined with transactions, numbered by date."""
     rows = _run(t)["numbered"].select("txnid", "dt", "id", "custage", "sno")
-    return rows.withColumns({c: F.col(c).cast("long") for c in ("txnid", "id")})
+    return portable(rows.withColumns({c: F.col(c).cast("long") for c in ("txnid", "id")}))
 
 
 @query("""

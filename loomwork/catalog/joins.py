@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomwork.catalog.registry import query
+from loomwork.catalog.registry import portable, query
 from loomwork.functions.dates import in_month
 from loomwork.operators.joins import (
     grid,
@@ -50,38 +50,43 @@ def join_multi_key(t):
 
 
 @query("""
-    SELECT o_orderkey, o_totalprice, l_partkey, l_quantity
+    SELECT o_orderkey, o_totalprice, CAST(l_partkey AS DOUBLE) AS l_partkey, l_quantity
     FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
 """)
 def join_left(t):
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
-    return skew_join(t.orders, lines, [("o_orderkey", "l_orderkey")], "left", hot="right").select(
-        "o_orderkey", "o_totalprice", "l_partkey", "l_quantity"
+    joined = skew_join(t.orders, lines, [("o_orderkey", "l_orderkey")], "left", hot="right")
+    return portable(
+        joined.select("o_orderkey", "o_totalprice", "l_partkey", "l_quantity"), "l_partkey"
     )
 
 
 @query("""
-    SELECT l_partkey, l_quantity, o_orderkey, o_orderdate
+    SELECT CAST(l_partkey AS DOUBLE) AS l_partkey, l_quantity, o_orderkey, o_orderdate
     FROM lineitem RIGHT JOIN orders ON o_orderkey = l_orderkey
 """)
 def join_right(t):
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
-    return skew_join(lines, t.orders, [("l_orderkey", "o_orderkey")], "right", hot="left").select(
-        "l_partkey", "l_quantity", "o_orderkey", "o_orderdate"
+    joined = skew_join(lines, t.orders, [("l_orderkey", "o_orderkey")], "right", hot="left")
+    return portable(
+        joined.select("l_partkey", "l_quantity", "o_orderkey", "o_orderdate"), "l_partkey"
     )
 
 
 @query("""
-    SELECT vec_id, label, doc_id, quality FROM embeddings FULL JOIN labels ON vec_id = doc_id
+    SELECT vec_id::DOUBLE AS vec_id, label::DOUBLE AS label, doc_id::DOUBLE AS doc_id,
+           quality::DOUBLE AS quality
+    FROM embeddings FULL JOIN labels ON vec_id = doc_id
 """)
 def join_full(t):
-    return skew_join(
+    joined = skew_join(
         t.embeddings.select("vec_id", "label"),
         t.labels.select("doc_id", "quality"),
         [("vec_id", "doc_id")],
         "full",
         hot="right",
     )
+    return portable(joined, "vec_id", "label", "doc_id", "quality")
 
 
 @query("""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomwork.catalog.registry import query
+from loomwork.catalog.registry import portable, query
 from loomwork.operators.joins import lookup
 from loomwork.operators.metrics import change_over_periods, dim_metrics, money_avg, money_sum
 
@@ -102,16 +102,17 @@ def dimensional_metrics(t):
 
 
 @query("""
-    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+    SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month,
            CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS cnt
     FROM orders GROUP BY 1
 """)
 def monthly_amounts(t):
-    return dim_metrics(
+    monthly = dim_metrics(
         t.orders,
         [F.trunc("o_orderdate", "month").alias("month")],
         {"total": money_sum("o_totalprice"), "cnt": F.count("*")},
     )
+    return portable(monthly)
 
 
 @query("""

@@ -6,6 +6,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -39,6 +41,16 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def portable(df: DataFrame, *nullable: str) -> DataFrame:
+    """Dates as ISO text and the named nullable integers as doubles.
+
+    Client libraries show these two kinds in different ways; in this form every
+    client gives the same values.
+    """
+    dates = {f.name: F.col(f.name).cast("string") for f in df.schema.fields if f.dataType == DateType()}
+    return df.withColumns({**dates, **{n: F.col(n).cast("double") for n in nullable}})
+
+
 def query(sql: str | None = None) -> Callable:
     """Register a function under its own name with its equivalent DuckDB SQL."""
 

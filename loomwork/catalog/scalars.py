@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomwork.catalog.registry import query
+from loomwork.catalog.registry import portable, query
 from loomwork.functions import sql as sql_functions
 from loomwork.functions.dates import date_parts as calendar
 from loomwork.functions.dates import parse_date
@@ -82,60 +82,62 @@ def coalesce_case(t):
 
 @query("""
     SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS key_text, CAST(p_size AS SMALLINT) AS size16,
-           TRY_CAST(p_name AS INTEGER) AS not_a_number,
+           CAST(TRY_CAST(p_name AS INTEGER) AS DOUBLE) AS not_a_number,
            CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) AS price_text
     FROM part
 """)
 def casts(t):
-    return t.part.select(
+    typed = t.part.select(
         "p_partkey",
         F.col("p_partkey").cast("string").alias("key_text"),
         F.col("p_size").cast("smallint").alias("size16"),
         F.col("p_name").try_cast("int").alias("not_a_number"),
         F.col("p_retailprice").cast("decimal(10,2)").cast("string").alias("price_text"),
     )
+    return portable(typed, "not_a_number")
 
 
 @query("""
     SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS yr,
            CAST(month(o_orderdate) AS INTEGER) AS mth,
-           last_day(o_orderdate) AS lastday,
-           CAST(o_orderdate AS DATE) + CAST(7 - dayofweek(o_orderdate) AS INTEGER) AS nextsunday,
+           CAST(last_day(o_orderdate) AS VARCHAR) AS lastday,
+           CAST(CAST(o_orderdate AS DATE) + CAST(7 - dayofweek(o_orderdate) AS INTEGER) AS VARCHAR) AS nextsunday,
            CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS dayofwk,
-           CAST(date_trunc('month', o_orderdate) AS DATE) AS daytrunc
+           CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS daytrunc
     FROM orders
 """)
 def date_parts(t):
-    return t.orders.select(
-        "o_orderkey", *[c.alias(n) for n, c in calendar("o_orderdate").items()]
-    )
+    parts = [c.alias(n) for n, c in calendar("o_orderdate").items()]
+    return portable(t.orders.select("o_orderkey", *parts))
 
 
 @query("""
-    SELECT o_orderkey, CAST(o_orderdate AS DATE) + 3 AS threedays,
+    SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) + 3 AS VARCHAR) AS threedays,
            CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS INTEGER) AS days_to
     FROM orders
 """)
 def date_shifts(t):
     run_date = F.lit("2002-01-01").cast("date")
-    return t.orders.select(
+    shifted = t.orders.select(
         "o_orderkey",
         F.date_add("o_orderdate", 3).alias("threedays"),
         F.datediff(run_date, "o_orderdate").alias("days_to"),
     )
+    return portable(shifted)
 
 
 @query("""
     SELECT o_orderkey,
            CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE strftime(o_orderdate, '%m-%d-%Y') END AS dt,
-           CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS parsed
+           CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS parsed
     FROM orders
 """)
 def text_date_parse(t):
     text = F.when(F.col("o_orderstatus") == "P", "pending").otherwise(
         F.date_format("o_orderdate", "MM-dd-yyyy")
     )
-    return t.orders.select("o_orderkey", text.alias("dt")).withColumn("parsed", parse_date("dt"))
+    dated = t.orders.select("o_orderkey", text.alias("dt"))
+    return portable(dated.withColumn("parsed", parse_date("dt")))
 
 
 @query("""

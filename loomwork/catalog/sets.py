@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomwork.catalog.registry import query
+from loomwork.catalog.registry import portable, query
 from loomwork.operators.evolve import combine, union_by_name, union_padded
 from loomwork.operators.joins import upsert
 from loomwork.operators import sets
@@ -64,15 +64,15 @@ def subset_and_disjoint(t):
 
 
 @query("""
-    SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, CAST(NULL AS INTEGER) AS nation
+    SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS nation
     FROM customer
     UNION ALL
-    SELECT s_suppkey, s_name, NULL, s_nationkey FROM supplier
+    SELECT s_suppkey, s_name, NULL, s_nationkey::DOUBLE FROM supplier
 """)
 def union_by_name_missing(t):
     people = t.customer.selectExpr("c_custkey as id", "c_name as name", "c_mktsegment as segment")
     firms = t.supplier.selectExpr("s_nationkey as nation", "s_name as name", "s_suppkey as id")
-    return union_by_name([people, firms])
+    return portable(union_by_name([people, firms]), "nation")
 
 
 @query("""

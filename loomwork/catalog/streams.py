@@ -6,7 +6,7 @@ would find, consumed with an available-now trigger, and the sink is read back.
 
 from pyspark.sql import functions as F
 
-from loomwork.catalog.registry import query
+from loomwork.catalog.registry import portable, query
 from loomwork.operators.text import split_columns
 from loomwork.session import scratch_path
 from loomwork.sources.files import SourceSpec, load
@@ -31,7 +31,7 @@ def _landed(t, stream, schema, fmt="parquet"):
 
 
 @query(f"""
-    SELECT event_id, user_id, value, event_id + user_id AS total, DATE '{_RUN_DATE}' AS current_dt
+    SELECT event_id, user_id, value, event_id + user_id AS total, '{_RUN_DATE}' AS current_dt
     FROM events
 """)
 def stream_enrich(t):
@@ -40,9 +40,8 @@ def stream_enrich(t):
         t.spark, "csv", source, "event_id BIGINT, user_id BIGINT, value DOUBLE", max_files=2, sep="|"
     )
     made = with_load_date(with_total(stream, ["event_id", "user_id"]), run_date=_RUN_DATE)
-    return _landed(
-        t, made, "event_id BIGINT, user_id BIGINT, value DOUBLE, total BIGINT, current_dt DATE"
-    )
+    schema = "event_id BIGINT, user_id BIGINT, value DOUBLE, total BIGINT, current_dt DATE"
+    return portable(_landed(t, made, schema))
 
 
 @query("SELECT event_id, upper(event_type) AS kind FROM events WHERE value > 10")
@@ -60,7 +59,7 @@ def stream_filter(t):
 
 
 @query("""
-    SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN event_id % 100 END AS mark
+    SELECT event_id, user_id, CAST(CASE WHEN event_type <> 'error' THEN event_id % 100 END AS DOUBLE) AS mark
     FROM events
 """)
 def stream_lines(t):
@@ -70,7 +69,7 @@ def stream_lines(t):
     source = _arrivals(t, t.events.select(line.alias("value")), "text", "stream-text")
     names = [("event_id", "bigint"), ("user_id", "bigint"), ("mark", "bigint")]
     made = split_columns(read_lines(t.spark, source, max_files=2), "value", ",", names)
-    return _landed(t, made, "event_id BIGINT, user_id BIGINT, mark BIGINT")
+    return portable(_landed(t, made, "event_id BIGINT, user_id BIGINT, mark BIGINT"), "mark")
 
 
 @query("SELECT event_id, upper(event_type) AS event_type, value FROM events")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomwork.catalog.registry import query
+from loomwork.catalog.registry import portable, query
 from loomwork.operators.cleanse import wide_enough
 from loomwork.operators.layout import partition_sizes
 from loomwork.operators.text import level_counts, tokens, without_header, zip_rows
@@ -90,19 +90,20 @@ def whole_table_totals(t):
 
 
 @query("""
-    SELECT i AS row_no, c_custkey, c_name, o_orderkey, o_orderdate
+    SELECT i AS row_no, CAST(c_custkey AS DOUBLE) AS c_custkey, c_name, o_orderkey, o_orderdate
     FROM (SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey) AS i FROM customer) a
     FULL JOIN (SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS i
                FROM orders) b USING (i)
 """)
 def positional_zip(t):
     """Tables without a common key, joined by position; the longer one keeps its tail."""
-    return zip_rows(
+    zipped = zip_rows(
         t.customer.select("c_custkey", "c_name"),
         t.orders.select("o_orderkey", "o_orderdate"),
         ["c_custkey"],
         ["o_orderdate", "o_orderkey"],
     )
+    return portable(zipped, "c_custkey")
 
 
 @query()
