@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loomwork.catalog.registry import portable, query
 from loomwork.operators.evolve import combine
+from loomwork.operators.skew import skew_join
 from loomwork.session import scratch_path
 from loomwork.sources.files import (
     LENIENT_JSON,
@@ -185,19 +186,30 @@ def json_lenient(t):
 
 @query("SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
 def json_multiline(t):
-    """Pretty-printed JSON documents, one to a file."""
-    per_user = t.events.groupBy("user_id").agg(F.count("*").alias("n"))
-    body = per_user.select(
+    """Files that each hold one JSON array spread over many lines.
+
+    Such a file is read by one task, so the rows are spread over as many files
+    as there are shuffle partitions.
+    """
+    files = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = t.events.groupBy("user_id").agg(F.count("*").alias("n"))
+    objects = counts.select(
+        F.pmod(F.xxhash64("user_id"), F.lit(files)).alias("file"),
+        F.lit(1).alias("place"),
         F.concat(
-            F.lit('{\n "user": '), F.col("user_id").cast("string"),
+            F.lit(',{\n "user": '), F.col("user_id").cast("string"),
             F.lit(',\n "n": '), F.col("n").cast("string"), F.lit("\n}"),
         ).alias("value"),
-        F.pmod(F.hash("user_id"), F.lit(1 << 30)).alias("file"),
     )
+    used = objects.select("file").distinct()
+    first = used.select("file", F.lit(0).alias("place"), F.lit("[{}").alias("value"))
+    last = used.select("file", F.lit(2).alias("place"), F.lit("]").alias("value"))
     path = scratch_path(t.spark, "multiline")
-    body.write.partitionBy("file").text(path)
+    lines = objects.union(first).union(last).repartition(files, "file")
+    ordered = lines.sortWithinPartitions("file", "place").select("file", "value")
+    ordered.write.partitionBy("file").text(path)
     read = load(t.spark, SourceSpec("json", path, "user BIGINT, n BIGINT", multiline=True))
-    return read.select(F.col("user").alias("user_id"), "n")
+    return read.where("user is not null").select(F.col("user").alias("user_id"), "n")
 
 
 @query(_ORDER_SQL)
@@ -205,8 +217,13 @@ def json_compressed_partitioned(t):
     path = scratch_path(t.spark, "json-parts")
     save(
         _orders(t),
-        SinkSpec("json", path, partition_by=["o_orderstatus"],
-                 options={"compression": "gzip", "ignoreNullFields": "false"}),
+        SinkSpec(
+            "json",
+            path,
+            partition_by=["o_orderstatus"],
+            rows_per_file=1_000_000,  # a gzip file is read by one task
+            options={"compression": "gzip", "ignoreNullFields": "false"},
+        ),
     )
     return load(t.spark, SourceSpec("json", path, _ORDER_SCHEMA))
 
@@ -246,7 +263,8 @@ def text_round_trip(t):
 @query("SELECT count(*) AS n FROM customer")
 def whole_text_files(t):
     """Line breaks counted in whole files add up to the rows written."""
-    path = _written(t, t.customer.select(F.col("c_name").alias("value")), "text", "whole")
+    path = scratch_path(t.spark, "whole")
+    save(t.customer.select(F.col("c_name").alias("value")), SinkSpec("text", path, rows_per_file=100_000))
     whole = text_lines(t.spark, path, whole=True)
     breaks = F.length("value") - F.length(F.replace(F.col("value"), F.lit("\n"), F.lit("")))
     return whole.agg(F.sum(breaks).cast("long").alias("n"))
@@ -381,17 +399,21 @@ def insert_by_position(t):
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, o_totalprice FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def bucketed_join(t):
-    """Two tables bucketed alike join without a shuffle."""
+    """Two tables bucketed alike join without a shuffle, unless a key is heavy."""
     left, right = scratch_path(t.spark, "bucket-l"), scratch_path(t.spark, "bucket-r")
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
-    save(lines, SinkSpec("parquet", left, _table_name(left), bucket_by=(8, ["l_orderkey"])))
+    save(lines, SinkSpec("parquet", left, _table_name(left), bucket_by=(buckets, ["l_orderkey"])))
     orders = t.orders.select("o_orderkey", "o_totalprice")
-    save(orders, SinkSpec("parquet", right, _table_name(right), bucket_by=(8, ["o_orderkey"])))
-    return (
-        t.spark.table(_table_name(left))
-        .join(t.spark.table(_table_name(right)), F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("l_orderkey", "l_linenumber", "l_partkey", "o_totalprice")
+    save(orders, SinkSpec("parquet", right, _table_name(right), bucket_by=(buckets, ["o_orderkey"])))
+    joined = skew_join(
+        t.spark.table(_table_name(left)),
+        t.spark.table(_table_name(right)),
+        [("l_orderkey", "o_orderkey")],
+        "inner",
+        hot="left",
     )
+    return joined.select("l_orderkey", "l_linenumber", "l_partkey", "o_totalprice")
 
 
 @query("SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'O'")

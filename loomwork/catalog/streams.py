@@ -18,12 +18,17 @@ from loomwork.streaming.transforms import decode_json, sql_over, with_load_date,
 _RUN_DATE = "2024-06-01"
 
 
-def _arrivals(t, df, fmt, label, files=4, **options):
+def _arrivals(t, df, fmt, label, **options):
     path = scratch_path(t.spark, label)
-    save(df.repartition(files), SinkSpec(fmt, path, options=options))
+    save(df.repartition(t.spark.sparkContext.defaultParallelism), SinkSpec(fmt, path, options=options))
     return path
 
 
+def _some(t):
+    """Files per batch that make a few batches, whatever the size of the cluster."""
+    return max(1, t.spark.sparkContext.defaultParallelism // 2)
+
+
 def _landed(t, stream, schema, fmt="parquet"):
     out, checkpoint = scratch_path(t.spark, "stream-out"), scratch_path(t.spark, "stream-ck")
     to_files(stream, fmt, out, checkpoint).awaitTermination()
@@ -37,7 +42,7 @@ def _landed(t, stream, schema, fmt="parquet"):
 def stream_enrich(t):
     source = _arrivals(t, t.events.select("event_id", "user_id", "value"), "csv", "stream-csv", sep="|")
     stream = read_files(
-        t.spark, "csv", source, "event_id BIGINT, user_id BIGINT, value DOUBLE", max_files=2, sep="|"
+        t.spark, "csv", source, "event_id BIGINT, user_id BIGINT, value DOUBLE", max_files=_some(t), sep="|"
     )
     made = with_load_date(with_total(stream, ["event_id", "user_id"]), run_date=_RUN_DATE)
     schema = "event_id BIGINT, user_id BIGINT, value DOUBLE, total BIGINT, current_dt DATE"
@@ -48,7 +53,7 @@ def stream_enrich(t):
 def stream_filter(t):
     source = _arrivals(t, t.events.select("event_id", "event_type", "value"), "json", "stream-json")
     stream = read_files(
-        t.spark, "json", source, "event_id BIGINT, event_type STRING, value DOUBLE", max_files=2
+        t.spark, "json", source, "event_id BIGINT, event_type STRING, value DOUBLE", max_files=_some(t)
     )
     made = sql_over(
         stream,
@@ -68,7 +73,7 @@ def stream_lines(t):
     line = F.concat_ws(",", F.col("event_id").cast("string"), F.col("user_id").cast("string"), mark)
     source = _arrivals(t, t.events.select(line.alias("value")), "text", "stream-text")
     names = [("event_id", "bigint"), ("user_id", "bigint"), ("mark", "bigint")]
-    made = split_columns(read_lines(t.spark, source, max_files=2), "value", ",", names)
+    made = split_columns(read_lines(t.spark, source, max_files=_some(t)), "value", ",", names)
     return portable(_landed(t, made, "event_id BIGINT, user_id BIGINT, mark BIGINT"), "mark")
 
 
@@ -78,7 +83,7 @@ def stream_envelope(t):
     body = F.to_json(F.struct("event_id", "event_type", "value", F.col("props").alias("browser")))
     records = t.events.select(body.cast("binary").alias("value"))
     source = _arrivals(t, records, "parquet", "stream-envelope")
-    stream = read_files(t.spark, "parquet", source, "value BINARY", max_files=2)
+    stream = read_files(t.spark, "parquet", source, "value BINARY", max_files=_some(t))
     schema = "event_id BIGINT, event_type STRING, value DOUBLE"
     made = decode_json(stream, schema, ["event_id", "event_type", "value"])
     return _landed(t, made.withColumn("event_type", F.upper("event_type")), schema)
@@ -87,7 +92,7 @@ def stream_envelope(t):
 @query("SELECT event_id, user_id, event_id + user_id AS total FROM events")
 def stream_csv_to_json(t):
     source = _arrivals(t, t.events.select("event_id", "user_id"), "csv", "stream-convert")
-    stream = read_files(t.spark, "csv", source, "event_id BIGINT, user_id BIGINT", max_files=3)
+    stream = read_files(t.spark, "csv", source, "event_id BIGINT, user_id BIGINT", max_files=_some(t))
     made = with_total(stream, ["event_id", "user_id"])
     return _landed(t, made, "event_id BIGINT, user_id BIGINT, total BIGINT", fmt="json")
 
@@ -102,7 +107,7 @@ def stream_latest_by_key(t):
     schema = "user_id BIGINT, event_id BIGINT, event_type STRING, ts TIMESTAMP_NTZ"
     changes = t.events.select("user_id", "event_id", "event_type", "ts")
     source = _arrivals(t, changes, "parquet", "stream-changes")
-    stream = read_files(t.spark, "parquet", source, schema, max_files=2)
+    stream = read_files(t.spark, "parquet", source, schema, max_files=_some(t))
     out, checkpoint = scratch_path(t.spark, "keyed"), scratch_path(t.spark, "keyed-ck")
     order = ["-ts", "-event_id"]
     to_keyed(stream, out, ["user_id"], order, checkpoint).awaitTermination()

@@ -3,19 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 from loomwork.operators.skew import GROUP_ROWS, equi_join, skew_join
 
-# Rows up to which a side counts as proven small.
+# Rows and bytes up to which a side counts as proven small.
 SMALL_ROWS = 20_000
+SMALL_BYTES = 64 << 20
 
 
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """True when ``df`` has at most ``rows`` rows; stops reading once it has more."""
-    return df.select(F.lit(1)).offset(rows).isEmpty()
+def is_small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
+    """True when ``df`` has at most ``rows`` rows holding at most ``size`` bytes.
+
+    Reading stops as soon as there are more rows.  Bytes are only added up when
+    there are few rows and some column has no fixed width.
+    """
+    if not df.select(F.lit(1)).offset(rows).isEmpty():
+        return False
+    widths = [_width(f.name, f.dataType) for f in df.schema.fields]
+    widths = [w for w in widths if w is not None]
+    if not widths:
+        return True
+    total = df.agg(F.sum(reduce(lambda a, b: a + b, widths))).first()[0]
+    return total is None or total <= size
+
+
+def _width(name: str, kind: DataType) -> Column | None:
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0)).cast("long")
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        text = F.to_json(F.struct(name))
+        return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+    return None
 
 
 def lookup(

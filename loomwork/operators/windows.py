@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from loomwork.operators.skew import GROUP_ROWS, heavy_keys, skew_join, split_heavy
 from loomwork.session import stage
 
+# Largest n Spark reduces to before the shuffle (spark.sql.window.group.limit.threshold).
+GROUP_LIMIT = 1000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
 
@@ -144,9 +146,13 @@ def top_per_key(
     """First ``n`` rows of each key under a total order.
 
     The filter on the row number lets Spark drop all but ``n`` rows per key
-    before the shuffle, so a heavy key arrives already reduced.
+    before the shuffle, so a heavy key arrives already reduced.  Spark does so
+    only up to a limit; above it heavy keys are numbered in segments.
     """
     number = name or "_n"
+    if n > GROUP_LIMIT:
+        kept = number_rows(df, keys, order, number).where(F.col(number) <= n)
+        return kept.withColumn(number, F.col(number).cast("int")) if name else kept.drop(number)
     window = Window.partitionBy(*keys).orderBy(*sort_columns(order))
     kept = df.withColumn(number, F.row_number().over(window).cast("int")).where(F.col(number) <= n)
     return kept if name else kept.drop(number)

@@ -16,7 +16,7 @@ class SinkSpec:
 
     ``table`` without ``path`` is a managed table, with ``path`` an external
     one.  ``touched_partitions_only`` makes an overwrite replace just the
-    partitions present in the data.  ``files`` merges the output into that many
+    partitions present in the data.  ``files`` gathers the output into that many
     files and is meant for small results; ``rows_per_file`` bounds file sizes
     without squeezing the write through few tasks.
     """
@@ -35,7 +35,11 @@ class SinkSpec:
 
 def save(df: DataFrame, spec: SinkSpec) -> None:
     if spec.files is not None:
-        df = df.coalesce(spec.files)
+        # A shuffle rather than a coalesce: what comes before keeps its parallelism.
+        df = df.repartition(spec.files)
+    elif spec.bucket_by is not None:
+        # One task per bucket instead of a file per task and bucket.
+        df = df.hint("rebalance", spec.bucket_by[0], *spec.bucket_by[1])
     elif spec.partition_by:
         # Rows of a partition gather in few files; a huge partition is still split.
         df = df.hint("rebalance", *spec.partition_by)

@@ -25,9 +25,9 @@ def to_files(
     files: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Append to files exactly once; ``files`` merges each batch into that many."""
+    """Append to files exactly once; ``files`` gathers each batch into that many."""
     if files is not None:
-        df = df.coalesce(files)
+        df = df.repartition(files)
     writer = df.writeStream.format(fmt).outputMode("append").trigger(**trigger(every))
     if name is not None:
         writer = writer.queryName(name)
