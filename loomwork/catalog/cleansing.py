@@ -11,6 +11,7 @@ from loomwork.operators.cleanse import (
     tidy,
 )
 from loomwork.operators.profile import (
+    frequent_exact,
     frequent_values,
     pair_statistics,
     sample_by_hash,
@@ -41,10 +42,11 @@ def dedup_rows(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag").distinct()
 
 
-@query()
+@query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
 def dedup_arbitrary(t):
-    """One row per key, whichever comes first; ``dedup_best`` names the survivor."""
-    return t.lineitem.dropDuplicates(["l_orderkey", "l_linenumber"])
+    """One row per key, whichever comes first, so only the keys can be compared."""
+    survivors = t.lineitem.dropDuplicates(["l_orderkey", "l_linenumber"])
+    return survivors.select("l_orderkey", "l_linenumber")
 
 
 @query("""
@@ -229,6 +231,14 @@ def frequent_items(t):
     return frequent_values(t.orders, ["o_orderstatus", "o_orderpriority"], 0.4)
 
 
+@query("""
+    SELECT lang AS value, count(*) AS n FROM documents GROUP BY lang
+    HAVING count(*) >= 0.2 * (SELECT count(*) FROM documents)
+""")
+def frequent_items_exact(t):
+    return frequent_exact(t.documents, "lang", 0.2)
+
+
 @query()
 def sample_seeded(t):
     return sample_rows(t.orders, 0.2, 10)

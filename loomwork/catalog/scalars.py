@@ -182,10 +182,11 @@ def arithmetic_columns(t):
     )
 
 
-@query()
+@query("SELECT count(*) AS n, count(*) AS ids FROM customer")
 def surrogate_ids(t):
-    """Unique but not contiguous ids; their values depend on the partitioning."""
-    return t.customer.select(F.monotonically_increasing_id().alias("custsk"), "*")
+    """Ids whose values depend on the partitioning, but which never repeat."""
+    keyed = t.customer.select(F.monotonically_increasing_id().alias("custsk"), "c_custkey")
+    return keyed.agg(F.count("*").alias("n"), F.count_distinct("custsk").alias("ids"))
 
 
 _BAND = "CASE WHEN p_size < 13 THEN 'Children' WHEN p_size <= 18 THEN 'Teen' ELSE 'Adults' END"

@@ -42,6 +42,21 @@ def frequent_values(df: DataFrame, columns: Sequence[str], support: float) -> Da
     return df.freqItems(list(columns), support)
 
 
+def frequent_exact(df: DataFrame, column: str, support: float) -> DataFrame:
+    """Values making up at least ``support`` of the rows, with their counts.
+
+    The sketch names at most ``1 / support`` candidates, few enough to broadcast
+    back for one exact count.
+    """
+    sketch = df.freqItems([column], support)
+    candidates = sketch.select(F.explode(f"{column}_freqItems").alias("value"))
+    rows = df.select(F.col(column).alias("value"))
+    counts = rows.join(F.broadcast(candidates), "value").groupBy("value")
+    counts = counts.agg(F.count(F.lit(1)).alias("n"))
+    total = rows.agg(F.count(F.lit(1)).alias("total")).scalar()
+    return counts.where(F.col("n") >= total * support)
+
+
 def profile(
     df: DataFrame,
     pairs: Sequence[tuple[str, str]],
