@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from loomwork.catalog.registry import query
 from loomwork.operators.windows import (
     first_rows,
+    last_rows,
     nth_per_key,
     nth_value_rows,
     number_all,
@@ -74,6 +75,11 @@ def bottom_three_global(t):
     return first_rows(_orders(t), ["o_totalprice", "o_orderkey"], 3)
 
 
+@query(f"SELECT {_ORDERS} FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10")
+def last_ten(t):
+    return last_rows(_orders(t), ["o_orderdate", "o_orderkey"], 10)
+
+
 @query(_numbered("o_totalprice DESC, o_orderkey", "n <= 3"))
 def top_three_per_customer(t):
     return top_per_key(_orders(t), ["o_custkey"], ["-o_totalprice", "o_orderkey"], 3)

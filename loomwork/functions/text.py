@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 DEFAULT_DOMAIN = "@example.com"
 
 
+def split_on(column: str | Column, separator: str) -> Column:
+    """Split at a literal separator; Spark's own split takes a pattern."""
+    if len(separator) > 1:
+        return F.split(column, f"\\Q{separator}\\E")
+    return F.split(column, f"\\{separator}" if separator in "\\^$.|?*+()[]{}" else separator)
+
+
 def described(subject: str, what: str) -> Column:
     """``<subject> is a <what>``; null when either part is."""
     return F.concat(F.col(subject), F.lit(" is a "), F.col(what))
@@ -18,7 +25,7 @@ def described(subject: str, what: str) -> Column:
 
 def part_of(column: str, separator: str, index: int) -> Column:
     """Field ``index`` (from 0) of delimited text, null when there are fewer."""
-    return F.get(F.split(column, separator), F.lit(index))
+    return F.get(split_on(column, separator), F.lit(index))
 
 
 def mail_address(first: str, last: str, domain: str = DEFAULT_DOMAIN) -> Column:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.functions.text import split_on
 from loomwork.operators.joins import lookup
 from loomwork.operators.windows import top_per_key
 
@@ -76,8 +76,5 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def wide_enough(df: DataFrame, line: str, separator: str, fields: int) -> DataFrame:
     """Lines with at least ``fields`` fields."""
-    return df.where(F.size(F.split(line, separator)) >= fields)
+    return df.where(F.size(split_on(line, separator)) >= fields)
 
-
-def any_null(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])

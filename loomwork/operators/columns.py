@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 
 @dataclass(frozen=True)
@@ -49,14 +50,25 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast some columns; text that does not parse becomes null."""
-    return df.withColumns({n: try_cast(F.col(n), t) for n, t in types.items()})
-
-
-def try_cast(column: Column, kind: str) -> Column:
-    return column.try_cast(kind)
+    return df.withColumns({n: F.col(n).try_cast(t) for n, t in types.items()})
 
 
 def shared_columns(a: DataFrame, b: DataFrame) -> list[str]:
     """Column names both frames have, in the order of the first."""
     names = set(b.columns)
     return [c for c in a.columns if c in names]
+
+
+def hashable_columns(df: DataFrame) -> list[str]:
+    """Columns Spark can hash: all but those holding maps or variants."""
+
+    def hashable(kind: DataType) -> bool:
+        if isinstance(kind, (MapType, VariantType)):
+            return False
+        if isinstance(kind, ArrayType):
+            return hashable(kind.elementType)
+        if isinstance(kind, StructType):
+            return all(hashable(f.dataType) for f in kind.fields)
+        return True
+
+    return [f.name for f in df.schema.fields if hashable(f.dataType)]

@@ -7,8 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType, StructType, ArrayType, VariantType
 
+from loomwork.operators.columns import hashable_columns
 from loomwork.session import stage
 
 # Rows of one key that a single task sorts or joins comfortably.
@@ -156,7 +156,7 @@ def _sliced(df: DataFrame, keys: Sequence[str], marks: DataFrame) -> DataFrame:
     The slice depends on the row and on the partition that holds it, never on
     row order, so a retried task assigns the same slices.
     """
-    hashed = [f.name for f in df.schema.fields if _hashable(f.dataType)]
+    hashed = hashable_columns(df)
     same = _all([F.col(k).eqNullSafe(F.col(f"_hk{i}")) for i, k in enumerate(keys)])
     spread = F.spark_partition_id().cast("long")
     if hashed:
@@ -198,16 +198,6 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def _hashable(kind: DataType) -> bool:
-    if isinstance(kind, (MapType, VariantType)):
-        return False
-    if isinstance(kind, ArrayType):
-        return _hashable(kind.elementType)
-    if isinstance(kind, StructType):
-        return all(_hashable(f.dataType) for f in kind.fields)
-    return True
-
-
 def _require_distinct_names(left, right, pairs, how) -> None:
     if how in ("left_semi", "left_anti"):
         return

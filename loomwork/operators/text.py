@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.functions.text import split_on
 from loomwork.operators.windows import number_all
 
 
 def tokens(df: DataFrame, text: str, separator: str = " ", name: str = "word") -> DataFrame:
     """One row per token of ``text``, other columns repeated."""
-    return df.withColumn(name, F.explode(F.split(text, separator)))
+    return df.withColumn(name, F.explode(split_on(text, separator)))
 
 
 def word_count(df: DataFrame, text: str, separator: str = " ") -> DataFrame:
     """Occurrences of each token; counts are combined before the shuffle."""
-    words = df.select(F.explode(F.split(text, separator)).alias("word"))
+    words = df.select(F.explode(split_on(text, separator)).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -30,7 +31,7 @@ def split_columns(
     df: DataFrame, line: str, separator: str, names: Sequence[tuple[str, str]]
 ) -> DataFrame:
     """Typed columns from delimited lines; short lines and bad values give nulls."""
-    parts = F.split(line, separator)
+    parts = split_on(line, separator)
     return df.select(
         *[F.get(parts, F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(names)]
     )
@@ -71,6 +72,3 @@ def zip_rows(
     right = number_all(b, order_b, name)
     return left.join(right, name, "full")
 
-
-def starts_with_digit(column: str) -> Column:
-    return F.substring(column, 1, 1).between("0", "9")

@@ -17,6 +17,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwork.operators.columns import hashable_columns
 from loomwork.operators.skew import GROUP_ROWS, heavy_keys, skew_join, split_heavy
 from loomwork.session import stage
 
@@ -183,6 +184,11 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*sort_columns(order)).limit(n)
 
 
+def last_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """Last ``n`` rows of the whole table, found the same way from the other end."""
+    return first_rows(df, [c[1:] if c.startswith("-") else f"-{c}" for c in order], n)
+
+
 def _per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -199,10 +205,18 @@ def _per_key(
 
 
 def _segments(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Range-partitioned, sorted and staged rows with their position and segment."""
+    """Range-partitioned, sorted and staged rows with their position and segment.
+
+    Rows that tie on the whole sort order are spread by their hash, and copies
+    by the input partition they come from.  Both stay the same when a task is
+    retried, so a row never changes its segment.
+    """
     layout = [*[F.asc(k) for k in keys], *sort_columns(order)]
+    spread = {"_hash": F.xxhash64(*hashable_columns(df)), "_part": F.spark_partition_id()}
     placed = (
-        df.repartitionByRange(*layout)
+        df.withColumns(spread)
+        .repartitionByRange(*layout, "_hash", "_part")
+        .drop(*spread)
         .sortWithinPartitions(*layout)
         .withColumn("_pos", F.monotonically_increasing_id())
     )

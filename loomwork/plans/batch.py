@@ -7,7 +7,7 @@ or read, so unused frames cost nothing.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from loomwork.functions.text import age_group, described, mask, part_of
 from loomwork.operators.cleanse import TidyRules, keep_best, tidy
 from loomwork.operators.columns import ColumnPlan, reshape
 from loomwork.operators.metrics import dim_metrics
-from loomwork.operators.profile import profile
+from loomwork.operators.profile import frequent_values, pair_statistics, sample_rows
 from loomwork.operators.skew import skew_join
 from loomwork.operators.windows import number_all
 from loomwork.plans.audit import Audit
@@ -43,7 +43,6 @@ class BatchSpec:
     min_profession_age: float = 49
     min_group_age: float = 35
     excluded_group: str = "Children"
-    sinks: Mapping[str, SinkSpec] = field(default_factory=dict)
 
 
 def csv_inputs(customers: str, transactions: str, sep: str = ",") -> tuple[SourceSpec, SourceSpec]:
@@ -164,10 +163,6 @@ def run(spark: SparkSession, spec: BatchSpec) -> Frames:
             counted_on=raw_transactions,
         )
 
-    def statistic(name: str) -> Callable[[], DataFrame]:
-        pairs, frequent = [("custage", "custage")], ["custprofession", "agegroup"]
-        return lambda: profile(curated, pairs, frequent)[name]
-
     not_excluded = ["id", "custage", "curdt", "custfname", "year", "agegroup"]
     return Frames(
         {
@@ -182,7 +177,12 @@ def run(spark: SparkSession, spec: BatchSpec) -> Frames:
             "masked": lambda: mask(customers, {"custlname": "md5", "custfname": "md5"}),
             "denormalised": denormalised,
             "numbered": lambda: numbered(denormalised()),
-            **{f"profile_{n}": statistic(n) for n in ("sample", "summary", "pairs", "frequent")},
+            "profile_sample": lambda: sample_rows(curated, 0.2, seed=10),
+            "profile_summary": lambda: curated.summary(),
+            "profile_pairs": lambda: pair_statistics(curated, [("custage", "custage")]),
+            "profile_frequent": lambda: frequent_values(
+                curated, ["custprofession", "agegroup"], 0.4
+            ),
         }
     )
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from loomwork.operators.cleanse import require_not_null
+from loomwork.operators.columns import hashable_columns
 from loomwork.session import stage
 
 REJECT_COLUMN = "reject_data"
@@ -66,7 +68,7 @@ def _judged_whole(df: DataFrame) -> DataFrame:
     would otherwise let through records that are malformed elsewhere.  The
     condition is always true, which the optimizer cannot tell.
     """
-    return df.where(F.pmod(F.xxhash64(*df.columns), F.lit(2)) < 2)
+    return df.where(F.pmod(F.xxhash64(*hashable_columns(df)), F.lit(2)) < 2)
 
 
 def _options(spec: SourceSpec) -> dict[str, str]:
@@ -117,8 +119,6 @@ def query_files(spark: SparkSession, fmt: str, path: str, columns: str = "*") ->
 
 def impose_schema(df: DataFrame, schema: StructType | str, required: Sequence[str] = ()) -> DataFrame:
     """Cast to a declared schema and fail on nulls in required columns."""
-    from loomwork.operators.cleanse import require_not_null
-
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     shaped = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in declared.fields])
     return require_not_null(shaped, required) if required else shaped

@@ -74,7 +74,7 @@ def append_by_position(df: DataFrame, table: str, overwrite: bool = False) -> No
 
 
 def rebuild_external(
-    spark: SparkSession, table: str, path: str, fmt: str = "orc", mode: str = "FAILFAST"
+    spark: SparkSession, table: str, path: str, fmt: str = "orc"
 ) -> DataFrame:
     """Point an external table at files whose columns have changed.
 

@@ -254,6 +254,14 @@ def test_ragged_lines(spark):
     assert without_header(lines, "value", "Bob,41,2016-09-20,5").count() == 1
 
 
+def test_separators_are_literal(spark):
+    df = spark.createDataFrame([("a|b.c||d",)], "v STRING")
+    assert df.select(part_of("v", "|", 1), part_of("v", ".", 1), part_of("v", "||", 1)).first()[:] == (
+        "b.c", "c||d", "d",
+    )
+    assert tokens(df, "v", "|").count() == 4
+
+
 def test_keyless_files_zip_by_line(spark, tmp_path):
     (tmp_path / "names").write_text("".join(f"{i},n{i}\n" for i in range(500)))
     (tmp_path / "cities").write_text("".join(f"city{i}\n" for i in range(499)))

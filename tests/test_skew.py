@@ -129,6 +129,32 @@ def test_whole_table_numbers(spark, fact, adaptive):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_copies_do_not_pile_up_in_one_segment(spark):
+    """Rows equal in the whole sort order are still laid out over several tasks."""
+    from loomwork.operators.windows import _segments
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        copies = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+        sizes = [r["count"] for r in _segments(copies, ["k"], ["v"]).groupBy("_seg").count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) <= 1000
+        numbers = number_all(copies, ["k"], "n").select("n").distinct()
+        assert numbers.count() == 4000
+        ranks = rank_rows(copies, ["k"], ["v"], [], group_rows=100)
+        assert ranks.select("rank_no", "dense_no").distinct().collect() == [(1, 1)]
+        assert ranks.agg(F.max("row_no"), F.count_distinct("row_no")).first()[:] == (4000, 4000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_large_n_per_key(fact):
+    from loomwork.operators.windows import top_per_key
+
+    window = Window.partitionBy("k").orderBy(*sort_columns(["-amt", "id"]))
+    plain = fact.withColumn("n", F.row_number().over(window)).where("n <= 1500").drop("n")
+    same(top_per_key(fact, ["k"], ["-amt", "id"], 1500), plain)
+
+
 @pytest.mark.parametrize("n", [1, 2, 5])
 def test_rows_with_the_nth_value(fact, n):
     window = Window.partitionBy("k").orderBy(F.desc("amt"))

@@ -8,7 +8,6 @@ from loomwork.operators.evolve import combine, union_by_name, union_padded
 from loomwork.operators.quality import schema_diff
 from loomwork.sources.files import (
     LENIENT_JSON,
-    REJECT_COLUMN,
     SourceSpec,
     impose_schema,
     load,
