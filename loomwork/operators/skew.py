@@ -156,17 +156,18 @@ def _sliced(df: DataFrame, keys: Sequence[str], marks: DataFrame) -> DataFrame:
     The slice depends on the row and on the partition that holds it, never on
     row order, so a retried task assigns the same slices.
     """
-    hashed = hashable_columns(df)
     same = _all([F.col(k).eqNullSafe(F.col(f"_hk{i}")) for i, k in enumerate(keys)])
     spread = F.spark_partition_id().cast("long")
+    hashed = hashable_columns(df)
     if hashed:
         spread = spread + F.xxhash64(*hashed).bitwiseAND(F.lit(0x7FFFFFFF))
+    # Only rows of heavy keys are hashed.
+    heavy_slice = F.pmod(spread, F.col("_slices").cast("long")).cast("int")
     return (
-        df.withColumn("_spread", spread)
-        .join(marks, same, "left")
-        .withColumn("_slice", F.pmod("_spread", F.coalesce("_slices", F.lit(1))).cast("int"))
+        df.join(marks, same, "left")
+        .withColumn("_slice", F.when(F.col("_slices").isNull(), 0).otherwise(heavy_slice))
         .withColumn("_in_hot", F.lit(True))
-        .drop("_spread", "_slices", *[f"_hk{i}" for i in range(len(keys))])
+        .drop("_slices", *[f"_hk{i}" for i in range(len(keys))])
     )
 
 
