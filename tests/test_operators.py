@@ -216,10 +216,10 @@ def test_sets(spark):
 
 
 def test_upsert_and_rules(spark):
-    base = spark.createDataFrame([("irfan", 10), ("bala", 20)], "name STRING, pay INT")
-    changes = spark.createDataFrame([("piyush", 25), ("irfan", 12)], "name STRING, pay INT")
+    base = spark.createDataFrame([("cara", 10), ("abel", 20)], "name STRING, pay INT")
+    changes = spark.createDataFrame([("paul", 25), ("cara", 12)], "name STRING, pay INT")
     once = upsert(base, changes, ["name"])
-    assert values(once) == [("bala", 20), ("irfan", 12), ("piyush", 25)]
+    assert values(once) == [("abel", 20), ("cara", 12), ("paul", 25)]
     assert values(upsert(once, changes, ["name"])) == values(once)
     rules = spark.createDataFrame(
         [("TN", "Chennai", "Guindy", 2), ("TN", "Chennai", None, 4), ("TN", None, None, 17)],

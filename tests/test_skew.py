@@ -69,16 +69,21 @@ def test_split_join_on_a_shared_name(fact, dim, how):
     same(split, fact.join(other, ["k"], how))
 
 
-def test_split_join_spreads_a_heavy_key_of_identical_rows(spark, dim):
-    copies = spark.range(0, 4000, 1, 8).select(F.lit(7).cast("long").alias("k"))
-    joined = skew_join(copies, dim.hint("merge"), [("k", "dk")], "inner", group_rows=500)
-    assert joined.count() == 4000
+def test_split_join_spreads_a_heavy_key_of_identical_rows(spark, dim, tmp_path):
+    spark.range(0, 4000, 1, 8).select(F.lit(7).cast("long").alias("k")).write.parquet(f"{tmp_path}/c")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        again = skew_join(copies, dim.hint("merge"), [("k", "dk")], "inner", group_rows=500)
-        tasks = again.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        copies = spark.read.parquet(f"{tmp_path}/c")
+        joined = skew_join(copies, dim, [("k", "dk")], "inner", group_rows=500)
+        tasks = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
+        for name in ("files.openCostInBytes", "files.maxPartitionBytes", "autoBroadcastJoinThreshold"):
+            spark.conf.unset(f"spark.sql.{name}")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in tasks) == 4000
     assert len(tasks) > 2
     assert max(r["count"] for r in tasks) <= 2500
 
