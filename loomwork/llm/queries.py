@@ -105,3 +105,25 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from loomwork.llm.exact import exact_duplicates
 
     return exact_duplicates(_table(spark, folder, "documents"), keep="largest")
+
+
+@_query()
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from loomwork.llm.bpe import token_counts
+
+    return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query()
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from loomwork.llm.ship import bucket_of
+    from loomwork.llm.toxicity import toxicity, train
+
+    docs = _table(spark, folder, "documents")
+    weights, bias = train(docs, _table(spark, folder, "labels"))
+    held_out = bucket_of(F.col("doc_id"), 4) == 2
+    return toxicity(docs, weights, bias, locate=False).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted"
+    )
