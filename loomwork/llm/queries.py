@@ -127,3 +127,12 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(docs, weights, bias, locate=False).select(
         "doc_id", held_out.alias("held_out"), "score", "predicted"
     )
+
+
+@_query()
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from loomwork.llm.langid import held_out, identify, learned_samples
+
+    docs = _table(spark, folder, "documents")
+    samples = learned_samples(docs.where(~held_out(docs)))
+    return identify(docs, samples).select("doc_id", held_out(docs).alias("held_out"), "lang_pred", "score")
