@@ -11,7 +11,7 @@ from loomwork.llm.ship import words_of
 from loomwork.session import stage
 
 # Rows of one key range of one source that a task sorts.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 5_000
 
 
 def source_targets(

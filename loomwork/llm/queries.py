@@ -136,3 +136,41 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     samples = learned_samples(docs.where(~held_out(docs)))
     return identify(docs, samples).select("doc_id", held_out(docs).alias("held_out"), "lang_pred", "score")
+
+
+# All pairs with a shared shingle, counted; then components by walking links.
+SQL_NEAR = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingled AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i+3], ' ') for i in range(1, len(w) - 2)] END) AS s
+  FROM worded
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_n
+  FROM shingled x JOIN shingled y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * both_n >= 80 * (p.n + q.n - both_n)
+), reach AS (
+  SELECT doc_id, doc_id AS seen FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.seen = l.a
+), named AS (
+  SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM named d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""
+
+
+@_query(SQL_NEAR)
+def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    from loomwork.llm.minhash import near_duplicates
+
+    return near_duplicates(_table(spark, folder, "documents"))
