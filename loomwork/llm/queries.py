@@ -174,3 +174,10 @@ def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     from loomwork.llm.minhash import near_duplicates
 
     return near_duplicates(_table(spark, folder, "documents"))
+
+
+@_query()
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from loomwork.llm.packing import packed_documents
+
+    return packed_documents(_table(spark, folder, "documents"))
