@@ -181,3 +181,31 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     from loomwork.llm.packing import packed_documents
 
     return packed_documents(_table(spark, folder, "documents"))
+
+
+# Base 32 of the digest, five bits at a time: 40 hex digits are 32 groups.
+SQL_WARC = """
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), kept AS (
+  SELECT hex, max(page_id) AS largest FROM hashed GROUP BY hex
+), coded AS (
+  SELECT h.page_id, h.hex, k.largest, strlen(h.html) AS n FROM hashed h JOIN kept k ON h.hex = k.hex
+)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  array_to_string([
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+      ((CAST('0x' || substr(hex, 5 * (g // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (g % 4))) & 31)::INT + 1]
+    for g in range(0, 32)], '') AS payload_digest,
+  CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> largest THEN largest END AS refers_to
+FROM coded
+"""
+
+
+@_query(SQL_WARC)
+def op9_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    from loomwork.llm.warc import record_table, write_archives
+
+    archives = write_archives(_table(spark, folder, "pages"))
+    return record_table(archives).drop("intact")
