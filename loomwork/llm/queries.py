@@ -209,3 +209,10 @@ def op9_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
     archives = write_archives(_table(spark, folder, "pages"))
     return record_table(archives).drop("intact")
+
+
+@_query()
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    from loomwork.llm.html import extract
+
+    return extract(_table(spark, folder, "pages"))
