@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -82,24 +83,27 @@ def gram_weights(counts: DataFrame, rules: Rules) -> DataFrame:
     return rows.agg(F.transform(listed, lambda x: x["ratio"]).alias("ratios"))
 
 
-def quality_counts(docs: DataFrame) -> DataFrame:
+def quality_counts(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Base counts of every row beside its columns ``doc_id, text``.
 
     ``n_words``, ``word_chars`` (code points in words), ``n_symbols`` (of
     ``#*$%&|<>``), ``n_dup_lines`` (lines with a word that equal an earlier
     line) and ``n_repeat_words`` (words in windows of five words that occur
     twice or more).  Windows are compared by 64-bit hashes.  A null text counts
-    0 everywhere.  ``_words`` stays for later steps.
+    0 everywhere.  ``_words`` stays for later steps, and so do the columns to
+    ``carry``, as fields of ``_carried``.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
     repeated_lines = let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
     symbols = F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))
+    carried = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_carried")] * bool(carry)
     rows = docs.select(
         "doc_id",
         words_of(F.col("text")).alias("_words"),
         symbols.cast("bigint").alias("n_symbols"),
         repeated_lines.cast("bigint").alias("n_dup_lines"),
+        *carried,
     )
     return rows.select(
         "doc_id",
@@ -109,6 +113,7 @@ def quality_counts(docs: DataFrame) -> DataFrame:
         "n_symbols",
         "n_dup_lines",
         repeat_words(F.col("_words")).cast("bigint").alias("n_repeat_words"),
+        *[F.col("_carried")] * bool(carry),
     )
 
 
@@ -161,9 +166,34 @@ def quality(docs: DataFrame, trusted: DataFrame, rules: Rules = Rules()) -> Data
     repeated rows are judged alike; other columns are ignored; empty tables
     give no rows, and without trusted documents only the base rules reject.
     """
+    return judged(quality_counts(docs), _ratios(docs, trusted, rules), rules).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "score",
+    )
+
+
+def keep_good(docs: DataFrame, trusted: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
+    rows = quality_counts(docs, carry=docs.columns)
+    kept = judged(rows, _ratios(docs, trusted, rules), rules).where("kept")
+    return kept.select(*[F.col(f"_carried.`{c}`").alias(c) for c in docs.columns])
+
+
+def _ratios(docs: DataFrame, trusted: DataFrame, rules: Rules) -> DataFrame:
     counts = stage(gram_counts(docs, trusted, rules.buckets), "gram-counts")
-    weights = gram_weights(counts, rules)
-    rows = quality_counts(docs).withColumn("_grams", grams(F.col("_words"), rules.buckets))
+    return gram_weights(counts, rules)
+
+
+def judged(rows: DataFrame, weights: DataFrame, rules: Rules) -> DataFrame:
+    """Rows of ``quality_counts`` with ``score``, ``base_failed`` and ``kept``."""
+    rows = rows.withColumn("_grams", grams(F.col("_words"), rules.buckets))
     rows = rows.withColumn("_ratios", weights.scalar())
     ratios = F.col("_ratios")
     mean = let(
@@ -175,18 +205,9 @@ def quality(docs: DataFrame, trusted: DataFrame, rules: Rules = Rules()) -> Data
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_pct * F.col("n_words")
     )
-    judged = rows.withColumns({"score": score, "base_failed": failed})
-    return judged.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        (~F.col("base_failed") & F.coalesce(F.col("score") >= rules.threshold, F.lit(False))).alias("kept"),
-        "score",
-    )
+    scored = rows.withColumns({"score": score, "base_failed": failed})
+    good = ~F.col("base_failed") & F.coalesce(F.col("score") >= rules.threshold, F.lit(False))
+    return scored.withColumn("kept", good)
 
 
 def trusted_documents(labels: DataFrame) -> DataFrame:
