@@ -18,12 +18,14 @@ WINDOW = 5
 class Rules:
     """Parameters of the verdict.
 
-    ``buckets`` hashed n-grams; ``prior`` raw-corpus pseudo counts mixed into the
+    ``trusted_rows`` trusted documents at most fit the target; ``buckets`` hashed
+    n-grams; ``prior`` raw-corpus pseudo counts mixed into the
     target counts, which pulls rare n-grams to a ratio of 1; ``neutral`` n-grams
     of ratio 1 added to every document, so that a few words alone reject none;
     ``threshold`` the least mean log ratio of a document that stays.
     """
 
+    trusted_rows: int = 20_000
     buckets: int = 1 << 14
     prior: float = 1 << 14
     neutral: int = 20
@@ -45,23 +47,24 @@ def grams(words: Column, buckets: int) -> Column:
     return let(words, lambda w: F.concat(of(w, 1), of(w, 2)))
 
 
-def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
+def gram_counts(docs: DataFrame, trusted: DataFrame, rules: Rules) -> DataFrame:
     """``bucket, raw, target``: n-gram counts of all documents and of trusted ones.
 
-    ``trusted`` has ``doc_id``.  Counts are combined before the shuffle, which
-    carries at most one row per bucket and task.
+    ``trusted`` has ``doc_id``; the target is fitted on ``rules.trusted_rows`` of
+    these at most, in order of a hash, so that their ids can be broadcast and no
+    text moves.  Counts are combined before the shuffle, which carries at most
+    one row per bucket and task.
     """
-    marks = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("_trusted", F.lit(1))
-    worded = (
-        docs.select("doc_id", "text")
-        .join(marks, "doc_id", "left")
-        .select(grams(words_of(F.col("text")), buckets).alias("_grams"), "_trusted")
-    )
-    return (
-        worded.select(F.explode("_grams").alias("bucket"), F.coalesce("_trusted", F.lit(0)).alias("_t"))
-        .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("raw"), F.sum("_t").alias("target"))
+    ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    marks = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.trusted_rows).withColumn("_trusted", F.lit(1))
+    marked = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id", "left")
+    # The outer form keeps Spark from computing the array once more to filter on it.
+    listed = marked.select(
+        F.explode_outer(grams(words_of(F.col("text")), rules.buckets)).alias("bucket"),
+        F.coalesce("_trusted", F.lit(0)).alias("_t"),
     )
+    counted = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_t").alias("target"))
+    return counted.where("bucket IS NOT NULL")
 
 
 def gram_weights(counts: DataFrame, rules: Rules) -> DataFrame:
@@ -187,7 +190,7 @@ def keep_good(docs: DataFrame, trusted: DataFrame, rules: Rules = Rules()) -> Da
 
 
 def _ratios(docs: DataFrame, trusted: DataFrame, rules: Rules) -> DataFrame:
-    counts = stage(gram_counts(docs, trusted, rules.buckets), "gram-counts")
+    counts = stage(gram_counts(docs, trusted, rules), "gram-counts")
     return gram_weights(counts, rules)
 
 
