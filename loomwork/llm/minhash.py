@@ -282,4 +282,5 @@ def _plausible(pairs: DataFrame, bits: DataFrame, near: Near) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, near: Near = Near(shingle=5)) -> DataFrame:
     """``docs`` with one document of each group: the smallest id, all columns."""
     kept = near_duplicates(docs, near).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return rows.join(kept, F.col("_row.doc_id").eqNullSafe(F.col("_id")), "left_semi").select("_row.*")

@@ -168,8 +168,10 @@ def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """
     decided = mixed.groupBy("doc_id", "text_hash").agg(F.max("copies").alias("_copies")).where("_copies > 0")
     decided = decided.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    repeated = docs.join(decided, same).withColumn(
+    # All columns travel in one, so that no name can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("_row.text") == F.col("_hash"))
+    repeated = rows.join(decided, same).withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
     )
-    return repeated.select(*[docs[c] for c in docs.columns])
+    return repeated.select("_row.*")
