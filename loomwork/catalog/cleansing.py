@@ -212,9 +212,21 @@ def correlation_covariance(t):
     )
 
 
-@query()
+def _summary_row(name, measure):
+    return f"SELECT '{name}' AS summary, round({measure}(o_orderkey)::DOUBLE, 3) AS o_orderkey, round({measure}(o_totalprice)::DOUBLE, 3) AS o_totalprice FROM orders"
+
+
+@query(
+    " UNION ALL ".join(
+        _summary_row(*p)
+        for p in (("count", "count"), ("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max"))
+    )
+)
 def summary_stats(t):
-    return t.orders.select("o_orderkey", "o_totalprice").summary()
+    """The exact measures of a summary; quantiles are sketches and have no one right answer."""
+    found = t.orders.select("o_orderkey", "o_totalprice").summary("count", "mean", "stddev", "min", "max")
+    names = ("o_orderkey", "o_totalprice")
+    return found.select("summary", *[F.round(F.col(n).cast("double"), 3).alias(n) for n in names])
 
 
 @query("""
@@ -226,27 +238,53 @@ def describe_bounds(t):
     return t.part.select("p_size").describe().where("summary in ('count', 'min', 'max')")
 
 
-@query()
+def _true_items(name):
+    return f"""SELECT '{name}' AS column_name, {name} AS value, true AS found FROM orders GROUP BY {name}
+    HAVING count(*) >= 0.15 * (SELECT count(*) FROM orders)"""
+
+
+@query(f"{_true_items('o_orderstatus')} UNION ALL {_true_items('o_orderpriority')}")
 def frequent_items(t):
-    return frequent_values(t.orders, ["o_orderstatus", "o_orderpriority"], 0.4)
+    """The sketch names every item that is frequent; what else it names is not fixed."""
+    names = ["o_orderstatus", "o_orderpriority"]
+    sketch = frequent_values(t.orders, names, 0.15)
+    total = t.orders.agg(F.count("*")).scalar()
+    parts = []
+    for name in names:
+        counts = t.orders.groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"))
+        named = F.array_contains(sketch.select(f"{name}_freqItems").scalar(), F.col("value"))
+        true_items = counts.where(F.col("n") >= 0.15 * total)
+        parts.append(true_items.select(F.lit(name).alias("column_name"), "value", named.alias("found")))
+    return parts[0].unionByName(parts[1])
 
 
 @query("""
-    SELECT lang AS value, count(*) AS n FROM documents GROUP BY lang
-    HAVING count(*) >= 0.2 * (SELECT count(*) FROM documents)
+    SELECT CASE WHEN lang <> 'en' THEN lang END AS value, count(*) AS n FROM documents GROUP BY 1
+    HAVING count(*) >= 0.12 * (SELECT count(*) FROM documents)
 """)
 def frequent_items_exact(t):
-    return frequent_exact(t.documents, "lang", 0.2)
+    """A null that holds most of the rows is an item like any other."""
+    made = t.documents.select(F.when(F.col("lang") != "en", F.col("lang")).alias("lang"))
+    return frequent_exact(made, "lang", 0.12)
 
 
-@query()
+@query("SELECT 0::BIGINT AS strangers, true AS fair_share")
 def sample_seeded(t):
-    return sample_rows(t.orders, 0.2, 10)
+    """A random sample holds rows of the table, about the share asked for."""
+    keys = ["o_orderkey", "o_custkey"]
+    drawn = sample_rows(t.orders.select(*keys), 0.2, 10)
+    tagged = drawn.withColumn("drawn", F.lit(1)).unionByName(t.orders.select(*keys, F.lit(0).alias("drawn")))
+    per_key = tagged.groupBy(*keys).agg(F.sum("drawn").alias("drawn"), F.count_if("drawn = 0").alias("rows"))
+    share = F.sum("drawn") / F.sum("rows")
+    return per_key.agg(
+        F.count_if(F.col("drawn") > F.col("rows")).alias("strangers"),
+        share.between(0.15, 0.25).alias("fair_share"),
+    )
 
 
 @query("""
     SELECT o_orderkey, o_totalprice FROM orders
-    WHERE substr(md5('7:' || CAST(o_orderkey AS VARCHAR)), 1, 4) < '3333'
+    WHERE CAST('0x' || substr(md5('7:' || CAST(o_orderkey AS VARCHAR)), 1, 12) AS BIGINT) < 56294995342131
 """)
 def sample_repeatable(t):
     return sample_by_hash(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", 0.2, seed=7)

@@ -10,7 +10,7 @@ from loomwork.catalog.registry import portable, query
 from loomwork.operators.evolve import combine
 from loomwork.operators.sets import rows_only_in
 from loomwork.operators.skew import skew_join
-from loomwork.session import scratch_path
+from loomwork.session import scratch_path, table_of
 from loomwork.sources.files import (
     LENIENT_JSON,
     SourceSpec,
@@ -36,10 +36,6 @@ def _written(t, df, fmt, label, **options):
     return path
 
 
-def _table_name(path):
-    return "loomwork_" + path.rsplit("-", 1)[-1]
-
-
 @query("""
     SELECT CAST(o_orderkey AS VARCHAR) AS _c0, CAST(o_custkey AS VARCHAR) AS _c1, o_orderstatus AS _c2,
            o_orderpriority AS _c3
@@ -227,16 +223,15 @@ def json_compressed_partitioned(t):
     return load(t.spark, SourceSpec("json", path, _ORDER_SCHEMA))
 
 
-@query("SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_totalprice > 300000")
+@query("SELECT o_orderkey, o_totalprice, o_orderdate FROM orders")
 def orc_scan(t):
     path = _written(t, t.orders, "orc", "orc")
-    rows = load(t.spark, SourceSpec("orc", path))
-    return rows.where("o_totalprice > 300000").select("o_orderkey", "o_totalprice", "o_orderdate")
+    return load(t.spark, SourceSpec("orc", path)).select("o_orderkey", "o_totalprice", "o_orderdate")
 
 
-@query("SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_totalprice > 300000")
+@query("SELECT o_orderkey, o_totalprice, o_orderdate FROM orders")
 def parquet_scan(t):
-    return t.orders.where("o_totalprice > 300000").select("o_orderkey", "o_totalprice", "o_orderdate")
+    return t.orders.select("o_orderkey", "o_totalprice", "o_orderdate")
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders")
@@ -318,7 +313,7 @@ def external_table_rebuilt(t):
     flat = scratch_path(t.spark, "rebuilt")
     for path in paths:
         save(load(t.spark, SourceSpec("orc", path)), SinkSpec("orc", flat, mode="append"))
-    rebuilt = rebuild_external(t.spark, _table_name(base), flat)
+    rebuilt = rebuild_external(t.spark, table_of(base), flat)
     return portable(rebuilt.select(*_DROP_COLUMNS), "o_custkey")
 
 
@@ -370,7 +365,7 @@ def partitions_overwritten(t):
 @query("SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey, c_name FROM customer")
 def table_append(t):
     path = scratch_path(t.spark, "append")
-    table = _table_name(path)
+    table = table_of(path)
     people = t.customer.select("c_custkey", "c_name")
     save(people, SinkSpec("parquet", path, table, mode="overwrite"))
     save(people, SinkSpec("parquet", path, table, mode="append"))
@@ -380,7 +375,7 @@ def table_append(t):
 @query("SELECT c_custkey, c_name FROM customer")
 def table_full_refresh(t):
     path = scratch_path(t.spark, "refresh")
-    table = _table_name(path)
+    table = table_of(path)
     people = t.customer.select("c_custkey", "c_name")
     save(people.limit(0), SinkSpec("parquet", path, table, mode="overwrite"))
     save(people, SinkSpec("parquet", path, table, mode="overwrite"))
@@ -390,7 +385,7 @@ def table_full_refresh(t):
 @query("SELECT c_custkey AS a, c_nationkey AS b FROM customer UNION ALL SELECT s_suppkey, s_nationkey FROM supplier")
 def insert_by_position(t):
     path = scratch_path(t.spark, "insert")
-    table = _table_name(path)
+    table = table_of(path)
     save(t.customer.selectExpr("c_custkey as a", "c_nationkey as b"), SinkSpec("parquet", path, table))
     append_by_position(t.supplier.select("s_suppkey", "s_nationkey"), table)
     return t.spark.table(table)
@@ -402,12 +397,12 @@ def bucketed_join(t):
     left, right = scratch_path(t.spark, "bucket-l"), scratch_path(t.spark, "bucket-r")
     buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
-    save(lines, SinkSpec("parquet", left, _table_name(left), bucket_by=(buckets, ["l_orderkey"])))
+    save(lines, SinkSpec("parquet", left, table_of(left), bucket_by=(buckets, ["l_orderkey"])))
     orders = t.orders.select("o_orderkey", "o_totalprice")
-    save(orders, SinkSpec("parquet", right, _table_name(right), bucket_by=(buckets, ["o_orderkey"])))
+    save(orders, SinkSpec("parquet", right, table_of(right), bucket_by=(buckets, ["o_orderkey"])))
     joined = skew_join(
-        t.spark.table(_table_name(left)),
-        t.spark.table(_table_name(right)),
+        t.spark.table(table_of(left)),
+        t.spark.table(table_of(right)),
         [("l_orderkey", "o_orderkey")],
         "inner",
         hot="left",
@@ -419,7 +414,7 @@ def bucketed_join(t):
 def sql_create_and_overwrite(t):
     """CREATE TABLE AS SELECT, then INSERT OVERWRITE."""
     path = scratch_path(t.spark, "ctas")
-    table = _table_name(path)
+    table = table_of(path)
     t.orders.createOrReplaceTempView("loomwork_orders")
     columns = "o_orderkey, o_totalprice, o_orderpriority"
     t.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}' AS SELECT {columns} FROM loomwork_orders WHERE o_orderstatus = 'F'")
@@ -431,7 +426,7 @@ def sql_create_and_overwrite(t):
 def external_partitioned_table(t):
     """External ORC table with a partition column, filled by SQL."""
     path = scratch_path(t.spark, "external")
-    table = _table_name(path)
+    table = table_of(path)
     t.orders.createOrReplaceTempView("loomwork_orders")
     t.spark.sql(
         f"CREATE TABLE {table} (o_orderkey BIGINT, o_totalprice DOUBLE, o_orderpriority STRING) "
@@ -443,11 +438,43 @@ def external_partitioned_table(t):
     return t.spark.table(table)
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING'")
+@query("SELECT DISTINCT c_custkey, c_name, c_mktsegment FROM customer")
 def curated_handover(t):
-    """One job publishes a partitioned table, the next reads a partition of it."""
+    """One job publishes a partitioned table, the next reads it."""
     path = scratch_path(t.spark, "handover")
-    table = _table_name(path)
+    table = table_of(path)
     people = t.customer.select("c_custkey", "c_name", "c_mktsegment")
     save(people, SinkSpec("parquet", path, table, partition_by=["c_mktsegment"]))
-    return t.spark.table(table).where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name").na.drop("any").distinct()
+    return t.spark.table(table).select("c_custkey", "c_name", "c_mktsegment").na.drop("any").distinct()
+
+
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0.0 ELSE o_totalprice END AS o_totalprice, o_orderstatus
+    FROM orders
+""")
+def table_partitions_overwritten(t):
+    """A managed table keeps the partitions that an overwrite has no rows for."""
+    table = table_of(scratch_path(t.spark, "managed"))
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    spec = SinkSpec("parquet", table=table, mode="overwrite", partition_by=["o_orderstatus"], touched_partitions_only=True)
+    save(rows, spec)
+    # Columns in another order: they are matched by name.
+    again = rows.where("o_orderstatus = 'F'").select("o_orderstatus", F.lit(0.0).alias("o_totalprice"), "o_orderkey")
+    save(again, spec)
+    return t.spark.table(table)
+
+
+@query("""
+    SELECT c_custkey, c_name, 'MANAGED' AS kind FROM customer
+    UNION ALL SELECT s_suppkey, s_name, 'MANAGED' FROM supplier
+""")
+def managed_table_refresh(t):
+    """A managed table refreshed in full, then appended to."""
+    table = table_of(scratch_path(t.spark, "managed"))
+    people = t.customer.select("c_custkey", "c_name")
+    save(people.limit(1), SinkSpec("parquet", table=table))
+    save(people, SinkSpec("parquet", table=table, mode="overwrite"))
+    firms = t.supplier.selectExpr("s_suppkey as c_custkey", "s_name as c_name")
+    save(firms, SinkSpec("parquet", table=table, mode="append"))
+    kind = t.spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Type'").select("data_type")
+    return t.spark.table(table).withColumn("kind", kind.scalar())

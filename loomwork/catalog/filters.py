@@ -102,7 +102,7 @@ def having_threshold(t):
     return dim_metrics(
         t.customer,
         ["c_nationkey"],
-        {"cnt": F.count("*"), "avgbal": money_avg("c_acctbal")},
+        {"cnt": F.count("*"), "avgbal": money_avg("c_acctbal", 2)},
         having="avgbal > 4500",
     )
 

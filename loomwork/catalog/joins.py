@@ -94,17 +94,15 @@ def join_full(t):
     FROM (SELECT * FROM (SELECT DISTINCT c_mktsegment FROM customer)
           CROSS JOIN (SELECT r_name, r_regionkey FROM region)) g
     LEFT JOIN (SELECT c_custkey, c_mktsegment, n_regionkey
-               FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < -900) c
+               FROM customer JOIN nation ON c_nationkey = n_nationkey) c
     ON g.c_mktsegment = c.c_mktsegment AND g.r_regionkey = c.n_regionkey
     GROUP BY ALL
 """)
 def segment_region_grid(t):
-    """Cross join of two proven-small lists, as a scaffold that shows empty cells."""
+    """Cross join of two short lists, as a scaffold that shows empty cells."""
     cells = grid(t.customer.select("c_mktsegment").distinct(), t.region)
-    indebted = lookup(
-        t.customer.where("c_acctbal < -900"), t.nation, [("c_nationkey", "n_nationkey")]
-    )
-    counts = indebted.groupBy("c_mktsegment", F.col("n_regionkey").alias("r_regionkey")).agg(
+    placed = lookup(t.customer, t.nation, [("c_nationkey", "n_nationkey")])
+    counts = placed.groupBy("c_mktsegment", F.col("n_regionkey").alias("r_regionkey")).agg(
         F.count("*").alias("n")
     )
     return cells.join(counts, ["c_mktsegment", "r_regionkey"], "left").select(
@@ -181,13 +179,18 @@ _LISTED = "SELECT CASE WHEN o_totalprice < {0} THEN NULL ELSE o_orderkey END FRO
 @query(f"""
     SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
     WHERE l_orderkey NOT IN ({_LISTED.format(2000)})
+    UNION ALL SELECT -1, -1, (SELECT count(*) FROM lineitem)
 """)
 def not_in_with_null(t):
-    """A null in the list leaves no row."""
+    """A null in the list leaves no row; a marker row tells that from a failed read."""
     listed = t.orders.select(
         F.when(F.col("o_totalprice") < 2000, None).otherwise(F.col("o_orderkey")).alias("k")
     )
-    return not_in(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey", listed, "k")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    marker = lines.agg(F.count("*").alias("l_partkey")).select(
+        F.lit(-1).cast("long").alias("l_orderkey"), F.lit(-1).alias("l_linenumber"), "l_partkey"
+    )
+    return not_in(lines, "l_orderkey", listed, "k").unionByName(marker)
 
 
 @query("""
@@ -255,7 +258,7 @@ def customer_totals_left(t):
         t.customer.select("c_custkey"),
         t.events,
         ("c_custkey", "user_id"),
-        [F.count("*").alias("n"), money_sum("value").alias("txn_total")],
+        [F.count("*").alias("n"), money_sum("value", 2).alias("txn_total")],
         how="left",
     )
     return totals.select("c_custkey", F.coalesce("n", F.lit(1)).alias("txn_cnt"), "txn_total")
@@ -271,7 +274,7 @@ def customer_totals_inner(t):
         t.customer.select("c_custkey", "c_name"),
         t.orders,
         ("c_custkey", "o_custkey"),
-        [F.count("*").alias("txn_cnt"), money_sum("o_totalprice").alias("txn_total")],
+        [F.count("*").alias("txn_cnt"), money_sum("o_totalprice", 2).alias("txn_total")],
         how="inner",
     )
 
@@ -283,6 +286,7 @@ _RULES = [
     ("ASIA", None, None, 17),
     ("EUROPE", "NATION_3", None, 5),
     ("EUROPE", None, None, 16),
+    (None, None, None, 9),
 ]
 
 
@@ -292,7 +296,7 @@ _RULES = [
                 WHEN r_name = 'ASIA' AND n_name = 'NATION_2' THEN 4
                 WHEN r_name = 'ASIA' THEN 17
                 WHEN r_name = 'EUROPE' AND n_name = 'NATION_3' THEN 5
-                WHEN r_name = 'EUROPE' THEN 16 ELSE 0 END AS rate
+                WHEN r_name = 'EUROPE' THEN 16 ELSE 9 END AS rate
     FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """)
 def rules_by_place(t):

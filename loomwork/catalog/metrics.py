@@ -55,10 +55,10 @@ def grouped_stats(t):
         ["o_orderstatus", "o_orderpriority"],
         {
             "cnt": F.count("o_totalprice"),
-            "total": money_sum("o_totalprice"),
+            "total": money_sum("o_totalprice", 2),
             "low": F.min("o_totalprice"),
             "high": F.max("o_totalprice"),
-            "mean": money_avg("o_totalprice"),
+            "mean": money_avg("o_totalprice", 2),
         },
     )
 
@@ -109,7 +109,7 @@ def monthly_amounts(t):
     monthly = dim_metrics(
         t.orders,
         [F.trunc("o_orderdate", "month").alias("month")],
-        {"total": money_sum("o_totalprice"), "cnt": F.count("*")},
+        {"total": money_sum("o_totalprice", 2), "cnt": F.count("*")},
     )
     return portable(monthly)
 
@@ -126,7 +126,7 @@ def month_over_month(t):
         t.orders,
         ["o_custkey"],
         {"mth": F.month("o_orderdate")},
-        {"sumamt": money_sum("o_totalprice")},
+        {"sumamt": money_sum("o_totalprice", 2)},
         "priormthamt",
         default=-1.0,
     )
@@ -142,7 +142,7 @@ def avg_having_ordered(t):
     return dim_metrics(
         t.customer,
         ["c_mktsegment"],
-        {"avgbal": money_avg("c_acctbal")},
+        {"avgbal": money_avg("c_acctbal", 2)},
         where=F.upper("c_mktsegment").isin("BUILDING", "FURNITURE", "MACHINERY"),
         having="avgbal > 4000",
         order=["c_mktsegment"],
@@ -157,7 +157,7 @@ _TOTALS = """
 
 @query(f"SELECT max(samt) AS max_total FROM ({_TOTALS.format(orders='orders')})")
 def max_of_grouped_sums(t):
-    sums = t.orders.groupBy("o_custkey").agg(money_sum("o_totalprice").alias("samt"))
+    sums = t.orders.groupBy("o_custkey").agg(money_sum("o_totalprice", 2).alias("samt"))
     return sums.agg(F.max("samt").alias("max_total"))
 
 

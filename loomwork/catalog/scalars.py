@@ -211,9 +211,10 @@ def sql_registered_function(t):
     )
 
 
-@query("SELECT p_partkey, upper(p_name) AS name FROM part")
+@query("SELECT doc_id, strip_accents(text) AS text FROM documents")
 def arrow_function(t):
-    return t.part.select("p_partkey", sql_functions.arrow_upper()("p_name").alias("name"))
+    """Accents stripped in Arrow batches: Spark has no such expression."""
+    return t.documents.select("doc_id", sql_functions.unaccented()("text").alias("text"))
 
 
 @query("""
@@ -273,7 +274,7 @@ def bonus_sum(t):
     raised = t.orders.where("o_totalprice > 100000").select(
         (F.col("o_totalprice") + 1000).alias("raised")
     )
-    return raised.agg(money_sum("raised").alias("total"))
+    return raised.agg(money_sum("raised", 2).alias("total"))
 
 
 @query("""

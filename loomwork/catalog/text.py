@@ -83,7 +83,7 @@ def value_counts(t):
 def whole_table_totals(t):
     return t.orders.agg(
         F.count("*").alias("n"),
-        money_sum("o_totalprice").alias("total"),
+        money_sum("o_totalprice", 2).alias("total"),
         F.max("o_totalprice").alias("high"),
     )
 

@@ -23,7 +23,7 @@ def register(spark: SparkSession) -> None:
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION age_group(age INT) RETURNS STRING
         RETURN CASE WHEN age IS NULL THEN NULL WHEN age < {young} THEN '{low}'
-                    WHEN age < {grown} THEN '{middle}' ELSE '{high}' END
+                    WHEN age <= {grown} THEN '{middle}' ELSE '{high}' END
     """)
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION to_upper(value STRING) RETURNS STRING
@@ -31,14 +31,14 @@ def register(spark: SparkSession) -> None:
     """)
 
 
-def arrow_upper() -> Callable[..., Column]:
-    """Pattern for logic Spark has no expression for: Arrow batches, never single rows.
+def unaccented() -> Callable[..., Column]:
+    """Text without accents, which Spark has no expression for: Arrow batches, never single rows.
 
     The inner function travels to the workers by value, so they need no copy of
     this package.
     """
 
-    def upper(values: pd.Series) -> pd.Series:
-        return values.str.upper()
+    def plain(values: pd.Series) -> pd.Series:
+        return values.str.normalize("NFD").str.replace(r"[\u0300-\u036f]", "", regex=True).str.normalize("NFC")
 
-    return F.pandas_udf(upper, StringType())
+    return F.pandas_udf(plain, StringType())

@@ -50,13 +50,16 @@ def band(column: str, edges: Sequence[float], labels: Sequence[str]) -> Column:
     return chosen.otherwise(F.lit(labels[-1]))
 
 
-# Under 13, 13 to 18, above 18 (whole years).
-AGE_EDGES = (13, 19)
+# Under 13, 13 to 18 inclusive, above 18.
+AGE_EDGES = (13, 18)
 AGE_LABELS = ("Children", "Teen", "Adults")
 
 
 def age_group(column: str) -> Column:
-    return band(column, AGE_EDGES, AGE_LABELS)
+    """Label of an age, whole or not; null has none."""
+    age, (young, grown), (low, middle, high) = F.col(column), AGE_EDGES, AGE_LABELS
+    labelled = F.when(age < young, low).when(age <= grown, middle)
+    return labelled.when(age.isNotNull(), high)
 
 
 def mask(df: DataFrame, columns: Mapping[str, str | tuple[str, int]]) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -32,14 +33,17 @@ def union_padded(a: DataFrame, b: DataFrame, padding: Mapping[str, object]) -> D
 def combine(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name where columns may also change type between frames.
 
-    A column whose types differ is carried as text; left to itself the union
-    would settle on the numeric type and fail on the first word.
+    Numeric types widen to one that holds both.  Any other clash is carried as
+    text; left to itself the union would settle on the numeric type and fail on
+    the first word.
     """
     kinds: dict[str, set[str]] = {}
+    numeric: dict[str, bool] = {}
     for df in frames:
         for field in df.schema.fields:
             kinds.setdefault(field.name, set()).add(field.dataType.simpleString())
-    clashing = {name for name, seen in kinds.items() if len(seen) > 1}
+            numeric[field.name] = numeric.get(field.name, True) and isinstance(field.dataType, NumericType)
+    clashing = {name for name, seen in kinds.items() if len(seen) > 1 and not numeric[name]}
     aligned = [
         df.withColumns({n: F.col(n).cast("string") for n in df.columns if n in clashing})
         for df in frames

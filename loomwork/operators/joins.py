@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
-from loomwork.operators.skew import GROUP_ROWS, equi_join, skew_join
+from loomwork.operators.skew import require_distinct_names, skew_join
 
 # Rows and bytes up to which a side counts as proven small.
 SMALL_ROWS = 20_000
@@ -19,10 +19,12 @@ SMALL_BYTES = 64 << 20
 def is_small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
     """True when ``df`` has at most ``rows`` rows holding at most ``size`` bytes.
 
-    Reading stops as soon as there are more rows.  Bytes are only added up when
-    there are few rows and some column has no fixed width.
+    Rows without columns are taken from one partition, then from more until
+    there are too many, so a large table is hardly read and no task gathers it.
+    Bytes are only added up when there are few rows and some column has no fixed
+    width.
     """
-    if not df.select(F.lit(1)).offset(rows).isEmpty():
+    if len(df.select(F.lit(1)).take(rows + 1)) > rows:
         return False
     widths = [_width(f.name, f.dataType) for f in df.schema.fields]
     widths = [w for w in widths if w is not None]
@@ -46,18 +48,21 @@ def lookup(
     dim: DataFrame,
     on: Sequence[str | tuple[str, str]],
     how: str = "inner",
-    small_rows: int = SMALL_ROWS,
-    group_rows: int = GROUP_ROWS,
+    small_rows: int | None = None,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Join a large table with a lookup table.
 
-    A lookup table proven small is broadcast and the large table is not
-    shuffled at all.  Otherwise both sides shuffle on the key, heavy keys of
-    the large table being split.
+    Spark broadcasts a lookup table that its statistics, or the shuffle it has
+    just measured, show to be small, and else splits hot keys.  ``small_rows``
+    asks for a check of the table's rows instead, and a broadcast up to that
+    many, which pays for tables beyond Spark's own limit.  Names on both sides
+    other than shared keys are refused in every case.
     """
-    if how in ("inner", "left") and is_small(dim, small_rows):
-        pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
-        return equi_join(fact, F.broadcast(dim), pairs, how)
+    pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
+    require_distinct_names(fact, dim, pairs, how)
+    if small_rows is not None and how in ("inner", "left") and is_small(dim, small_rows):
+        return skew_join(fact, F.broadcast(dim), on, how, group_rows=0)
     return skew_join(fact, dim, on, how, hot="left", group_rows=group_rows)
 
 
@@ -88,11 +93,15 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
     return kept.where(empty | (no_null & F.col(column).isNotNull()))
 
 
-def grid(a: DataFrame, b: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Every pair of two bounded lists; refuses lists that are not proven small."""
-    for side in (a, b):
-        if not is_small(side, small_rows):
-            raise ValueError(f"a grid needs sides of at most {small_rows} rows")
+def grid(a: DataFrame, b: DataFrame, max_cells: int = 1_000_000) -> DataFrame:
+    """Every pair of two bounded lists, of which there may be at most ``max_cells``.
+
+    A scaffold for reports; larger products are refused before any pair is made.
+    """
+    rows = len(a.select(F.lit(1)).take(max_cells + 1))
+    columns = len(b.select(F.lit(1)).take(max_cells // max(rows, 1) + 1))
+    if rows * columns > max_cells:
+        raise ValueError(f"a grid may have at most {max_cells} cells")
     return a.crossJoin(F.broadcast(b))
 
 
@@ -132,23 +141,27 @@ def rules_lookup(
 ) -> DataFrame:
     """Attach ``value`` from the most specific matching rule.
 
-    A rule leaves the finer levels null to mean "any".  ``rules`` is a short
-    hand-kept table, checked before it is broadcast once per level.
+    A rule leaves the finer levels null to mean "any"; one with all levels null
+    matches everything, and ``default`` stands where no rule does.  A rule with
+    a null above a filled level says nothing that can be looked up, and two
+    rules for the same place contradict each other: both are refused.  Tables
+    of any length are joined once per level.
     """
-    if not is_small(rules):
-        raise ValueError(f"rule tables are limited to {SMALL_ROWS} rows")
+    holes = [F.col(a).isNull() & F.col(b).isNotNull() for a, b in zip(levels, levels[1:])]
+    if holes and not rules.where(reduce(lambda a, b: a | b, holes)).isEmpty():
+        raise ValueError("a rule must fill its levels from the first on")
+    if not rules.groupBy(*levels).count().where("count > 1").isEmpty():
+        raise ValueError("two rules for the same levels")
     found = []
     result = df
     for depth in range(len(levels), 0, -1):
         used, rest = levels[:depth], levels[depth:]
-        part = rules
-        for name in used:
-            part = part.where(F.col(name).isNotNull())
+        part = rules.where(F.col(used[-1]).isNotNull())
         for name in rest:
             part = part.where(F.col(name).isNull())
         hit = f"_rule{depth}"
-        part = part.select(*used, F.col(value).alias(hit))
-        result = result.join(F.broadcast(part), list(used), "left")
+        result = lookup(result, part.select(*used, F.col(value).alias(hit)), list(used), "left")
         found.append(F.col(hit))
-    picked = F.coalesce(*found, F.lit(default)) if default is not None else F.coalesce(*found)
-    return result.withColumn(value, picked).drop(*[f"_rule{d}" for d in range(1, len(levels) + 1)])
+    everywhere = rules.where(F.col(levels[0]).isNull()).select(F.max(value))
+    picked = F.coalesce(*found, everywhere.scalar(), F.lit(default))
+    return result.select(*df.columns, picked.cast(rules.schema[value].dataType).alias(value))

@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from loomwork.operators.windows import shift_rows, sort_columns
 
 
-def money_sum(column: str, scale: int = 2) -> Column:
-    """Exact sum of an amount held as double, whatever order rows arrive in."""
-    return F.sum(F.col(column).cast(f"decimal(18,{scale})")).cast("double")
+def money_sum(column: str, scale: int) -> Column:
+    """Sum of an amount held as double, the same whatever order rows arrive in.
+
+    Every amount is taken at ``scale`` digits after the point, which the caller
+    states; finer parts are rounded away.
+    """
+    return F.sum(F.col(column).cast(f"decimal(28,{scale})")).cast("double")
 
 
-def money_avg(column: str, scale: int = 2) -> Column:
+def money_avg(column: str, scale: int) -> Column:
     """Average from the exact sum; null for an empty group."""
     return F.try_divide(money_sum(column, scale), F.count(column).cast("double"))
 
@@ -49,11 +53,12 @@ def change_over_periods(
     prior: str,
     default: object = None,
 ) -> DataFrame:
-    """Aggregate per key and period and put the previous period's value beside it."""
+    """Aggregate per key and period and put the previous period's value beside it.
+
+    A key has one row per period then, so no key is heavy and none are counted.
+    """
     (name, _), = measure.items()
     per_period = df.groupBy(*keys, *[c.alias(n) for n, c in period.items()]).agg(
         *[c.alias(n) for n, c in measure.items()]
     )
-    return shift_rows(
-        per_period, keys, list(period), {prior: (name, 1, default)}, counted_on=df
-    )
+    return shift_rows(per_period, keys, list(period), {prior: (name, 1, default)}, group_rows=0)

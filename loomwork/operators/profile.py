@@ -32,9 +32,16 @@ def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def sample_by_hash(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
-    """Sample by the hash of a key: the same rows for any partitioning."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    return df.where(F.substring(digest, 1, 4) < F.lit(f"{int(fraction * 65536):04x}"))
+    """Sample by the hash of a key: the same rows for any partitioning.
+
+    A fraction of 0 gives no row, 1 all of them.  Null keys hash as one value,
+    so they are all drawn or none is.
+    """
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must be between 0 and 1")
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    drawn = F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
+    return df.where(drawn < F.lit(round(fraction * (1 << 48))))
 
 
 def frequent_values(df: DataFrame, columns: Sequence[str], support: float) -> DataFrame:
@@ -45,14 +52,15 @@ def frequent_values(df: DataFrame, columns: Sequence[str], support: float) -> Da
 def frequent_exact(df: DataFrame, column: str, support: float) -> DataFrame:
     """Values making up at least ``support`` of the rows, with their counts.
 
-    The sketch names at most ``1 / support`` candidates, few enough to broadcast
-    back for one exact count.
+    The sketch names at most ``1 / support`` candidates, null among them; the
+    exact count of these is a filter and a map-side combined aggregation.
     """
     sketch = df.freqItems([column], support)
     candidates = sketch.select(F.explode(f"{column}_freqItems").alias("value"))
     rows = df.select(F.col(column).alias("value"))
-    counts = rows.join(F.broadcast(candidates), "value").groupBy("value")
-    counts = counts.agg(F.count(F.lit(1)).alias("n"))
+    named = candidates.select(F.col("value").alias("_candidate"))
+    matched = rows.join(named, F.col("value").eqNullSafe(F.col("_candidate")), "left_semi")
+    counts = matched.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     total = rows.agg(F.count(F.lit(1)).alias("total")).scalar()
     return counts.where(F.col("n") >= total * support)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.operators.columns import hashable_columns
@@ -23,22 +23,19 @@ def heavy_keys(
 ) -> DataFrame | None:
     """Keys with more than ``group_rows`` rows, or ``None`` when there are none.
 
-    A table of ``group_rows`` rows or fewer has none, which a scan answers from
-    file footers.  Otherwise counts are combined map-side, so a hot key costs
-    no more than any other.  A key only counts as heavy above
-    ``total / MAX_HEAVY_KEYS`` rows, which bounds the result to
-    ``MAX_HEAVY_KEYS`` rows.
+    One pass: counts are combined map-side, so a hot key costs no more than any
+    other, and only keys over the bound are written.  If there are more than
+    ``MAX_HEAVY_KEYS`` the heaviest are treated as heavy, so that their table
+    can be broadcast; a task then meets at most ``total / MAX_HEAVY_KEYS`` rows
+    of any other key.
     """
-    total = df.count()
-    if total <= group_rows:
-        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    if counts.agg(F.max("_rows")).first()[0] <= group_rows:
+    slices = F.ceil(F.col("_rows") / F.lit(group_rows)).cast("int").alias("_slices")
+    heavy = stage(counts.where(F.col("_rows") > group_rows).select(*keys, slices), "heavy-keys")
+    found = heavy.count()
+    if not found:
         return None
-    floor = max(group_rows, total // MAX_HEAVY_KEYS)
-    slices = F.ceil(F.col("_rows") / F.lit(floor)).cast("int").alias("_slices")
-    heavy = counts.where(F.col("_rows") > floor).select(*keys, slices)
-    return stage(heavy, "heavy-keys")
+    return heavy if found <= MAX_HEAVY_KEYS else heavy.orderBy(F.desc("_slices")).limit(MAX_HEAVY_KEYS)
 
 
 def split_heavy(
@@ -56,18 +53,24 @@ def skew_join(
     on: Sequence[str | tuple[str, str]],
     how: str = "inner",
     hot: str = "left",
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
     null_safe: bool = False,
     counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join where a key of the ``hot`` side may hold any share of its rows.
 
     ``on`` lists shared names or ``(left, right)`` pairs.  A shared name is
-    kept once, as in a join on names.  When no key is heavy this is the plain
-    join.  Otherwise the hot side spreads each heavy key over slices sized to
-    ``group_rows`` and the other side repeats only its heavy-key rows, one per
-    slice, so adaptive execution is not needed to balance the work.  Semi and
-    anti joins first reduce the right side to its distinct keys.
+    kept once, as in a join on names, and the column order is that of the plain
+    join whichever way is taken.
+
+    Adaptive execution splits the partitions of a hot key at run time wherever
+    it can: on either side of an inner join, on the side an outer join keeps
+    whole, on the left of a semi or anti join.  Only where it cannot, when it is
+    off, or when ``group_rows`` is given, keys of the hot side are counted: it
+    spreads each heavy key over slices of ``group_rows`` rows, the other side
+    repeats its heavy-key rows, one per slice.  ``group_rows`` of 0 says that
+    no key is heavy.  Semi and anti joins first reduce the right side to its
+    distinct keys.
 
     ``null_safe`` lets null keys match each other.  ``counted_on`` names a
     cheaper frame to count keys on, such as the scan the hot side is derived
@@ -79,7 +82,16 @@ def skew_join(
     if how in ("left_semi", "left_anti"):
         right = right.select(*[r for _, r in pairs]).distinct()
         hot = "left"
-    _require_distinct_names(left, right, pairs, how)
+    require_distinct_names(left, right, pairs, how)
+    columns = _joined_columns(left, right, pairs, how, null_safe)
+    if group_rows is None and not _adaptive_splits(left.sparkSession, how, hot):
+        group_rows = GROUP_ROWS
+    if not group_rows:
+        if how in ("left_semi", "left_anti"):
+            # Apart from the aggregation, so that the join shuffles for itself
+            # and its skewed partitions can be split.
+            right = right.hint("rebalance")
+        return equi_join(left, right, pairs, how, null_safe).select(*columns)
 
     hot_keys = [p[0] if hot == "left" else p[1] for p in pairs]
     cold_keys = [p[1] if hot == "left" else p[0] for p in pairs]
@@ -89,7 +101,7 @@ def skew_join(
         counted_on = left if hot == "left" else right
     heavy = heavy_keys(counted_on, hot_keys, group_rows)
     if heavy is None:
-        return equi_join(left, right, pairs, how, null_safe)
+        return equi_join(left, right, pairs, how, null_safe).select(*columns)
 
     marks = F.broadcast(_renamed(heavy, hot_keys))
     if hot == "left":
@@ -109,7 +121,24 @@ def skew_join(
         # A repeated row finds its heavy key in at least one slice, so the
         # copies that met an empty slice are not unmatched rows.
         joined = joined.where(~F.coalesce("_heavy", F.lit(False)) | F.col("_in_hot").isNotNull())
-    return joined.drop("_lslice", "_rslice", "_heavy", "_in_hot")
+    return joined.select(*columns)
+
+
+def _adaptive_splits(spark: SparkSession, how: str, hot: str) -> bool:
+    """Whether Spark splits skewed partitions of the hot side of such a join."""
+    on = (spark.conf.get(f"spark.sql.adaptive.{k}", "true") == "true" for k in ("enabled", "skewJoin.enabled"))
+    side = {"inner": hot, "left": "left", "right": "right", "left_semi": "left", "left_anti": "left"}
+    return all(on) and side.get(how) == hot
+
+
+def _joined_columns(left, right, pairs, how, null_safe) -> list[str]:
+    if how in ("left_semi", "left_anti"):
+        return left.columns
+    shared = [l for l, r in pairs if l == r]
+    rest = [c for c in right.columns if c not in shared]
+    if len(shared) == len(pairs) and not null_safe:
+        return [*shared, *[c for c in left.columns if c not in shared], *rest]
+    return [*left.columns, *rest]
 
 
 _JOIN_NAMES = {
@@ -199,7 +228,7 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def _require_distinct_names(left, right, pairs, how) -> None:
+def require_distinct_names(left, right, pairs, how) -> None:
     if how in ("left_semi", "left_anti"):
         return
     shared_keys = {l for l, r in pairs if l == r}

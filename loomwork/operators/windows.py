@@ -21,8 +21,8 @@ from loomwork.operators.columns import hashable_columns
 from loomwork.operators.skew import GROUP_ROWS, heavy_keys, skew_join, split_heavy
 from loomwork.session import stage
 
-# Largest n Spark reduces to before the shuffle (spark.sql.window.group.limit.threshold).
-GROUP_LIMIT = 1000
+# Largest n that Spark reduces to before the shuffle.
+GROUP_LIMIT = "spark.sql.window.group.limit.threshold"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
 
@@ -100,13 +100,12 @@ def shift_rows(
     order: Sequence[str],
     columns: Mapping[str, tuple[str, int, object]],
     group_rows: int = GROUP_ROWS,
-    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Values of earlier (offset > 0) or later (offset < 0) rows of the same key.
 
     ``columns`` maps a new name to ``(column, offset, default)``; the default
-    stands where there is no such row.  ``counted_on`` names a cheaper frame to
-    count keys on, with at least as many rows per key.
+    stands where there is no such row.  ``group_rows`` of 0 says that no key is
+    heavy.
     """
 
     def plain(part: DataFrame) -> DataFrame:
@@ -138,7 +137,7 @@ def shift_rows(
             )
         return result.drop("_n")
 
-    return _per_key(df, keys, group_rows, plain, wide, counted_on)
+    return _per_key(df, keys, group_rows, plain, wide)
 
 
 def top_per_key(
@@ -151,7 +150,7 @@ def top_per_key(
     only up to a limit; above it heavy keys are numbered in segments.
     """
     number = name or "_n"
-    if n > GROUP_LIMIT:
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT, "1000")):
         kept = number_rows(df, keys, order, number).where(F.col(number) <= n)
         return kept.withColumn(number, F.col(number).cast("int")) if name else kept.drop(number)
     window = Window.partitionBy(*keys).orderBy(*sort_columns(order))
@@ -195,9 +194,8 @@ def _per_key(
     group_rows: int,
     plain: Callable[[DataFrame], DataFrame],
     wide: Callable[[DataFrame], DataFrame],
-    counted_on: DataFrame | None = None,
 ) -> DataFrame:
-    heavy = heavy_keys(df if counted_on is None else counted_on, keys, group_rows)
+    heavy = heavy_keys(df, keys, group_rows) if group_rows else None
     if heavy is None:
         return plain(df)
     ordinary, large = split_heavy(df, keys, heavy)

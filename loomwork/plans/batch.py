@@ -21,6 +21,7 @@ from loomwork.operators.profile import frequent_values, pair_statistics, sample_
 from loomwork.operators.skew import skew_join
 from loomwork.operators.windows import number_all
 from loomwork.plans.audit import Audit
+from loomwork.session import stage
 from loomwork.sources.files import SourceSpec, load
 from loomwork.sources.schemas import CUSTOMERS, TRANSACTIONS
 from loomwork.sources.sinks import SinkSpec, save
@@ -122,9 +123,10 @@ def age_metrics(df: DataFrame, excluded: str, above: float) -> DataFrame:
 
 
 def clean_transactions(txns: DataFrame) -> DataFrame:
-    """One row per transaction id, the newest and then the largest."""
+    """One row per transaction id, the newest and then the largest; the order is total."""
     dated = txns.withColumn("dt", parse_date("dt")).na.drop("all")
-    return keep_best(dated, ["txnid"], ["-dt", "-amt", "custid", "category", "product"])
+    ties = ["custid", "category", "product", "city", "state", "spendby"]
+    return keep_best(dated, ["txnid"], ["-dt", "-amt", *ties])
 
 
 class Frames(Mapping):
@@ -147,43 +149,53 @@ class Frames(Mapping):
 
 
 def run(spark: SparkSession, spec: BatchSpec) -> Frames:
-    """Declare the frames of the job."""
-    customers = load(spark, spec.customers)
-    curated = enrich(munge(customers), spec.run_ts).withColumn("agegroup", age_group("custage"))
+    """Declare the frames of the job.
+
+    The inputs are parsed once: customers, transactions and the curated frame,
+    which several others build on, are written to the shared scratch folder when
+    first asked for.
+    """
+    made: dict[str, DataFrame] = {}
+
+    def once(name: str, maker: Callable[[], DataFrame]) -> DataFrame:
+        if name not in made:
+            made[name] = stage(maker(), f"batch-{name}")
+        return made[name]
+
+    def customers() -> DataFrame:
+        return once("customers", lambda: load(spark, spec.customers))
+
+    def curated() -> DataFrame:
+        return once(
+            "curated",
+            lambda: enrich(munge(customers()), spec.run_ts).withColumn("agegroup", age_group("custage")),
+        )
 
     def transactions() -> DataFrame:
-        return clean_transactions(load(spark, spec.transactions))
+        return once("transactions", lambda: clean_transactions(load(spark, spec.transactions)))
 
     def denormalised() -> DataFrame:
-        # Keys are counted on the raw rows; there are at least as many per key.
-        return skew_join(
-            transactions(),
-            customers,
-            [("custid", "id")],
-            "inner",
-            hot="left",
-            counted_on=load(spark, spec.transactions),
-        )
+        return skew_join(transactions(), customers(), [("custid", "id")], "inner", hot="left")
 
     not_excluded = ["id", "custage", "curdt", "custfname", "year", "agegroup"]
     return Frames(
         {
-            "customers": lambda: customers,
+            "customers": customers,
             "transactions": transactions,
-            "curated": lambda: curated,
-            "age_by_profession": lambda: age_by_profession(curated, spec.min_profession_age),
-            "not_excluded": lambda: curated.where(F.col("agegroup") != spec.excluded_group).select(
+            "curated": curated,
+            "age_by_profession": lambda: age_by_profession(curated(), spec.min_profession_age),
+            "not_excluded": lambda: curated().where(F.col("agegroup") != spec.excluded_group).select(
                 *not_excluded
             ),
-            "age_metrics": lambda: age_metrics(curated, spec.excluded_group, spec.min_group_age),
-            "masked": lambda: mask(customers, {"custlname": "md5", "custfname": "md5"}),
+            "age_metrics": lambda: age_metrics(curated(), spec.excluded_group, spec.min_group_age),
+            "masked": lambda: mask(customers(), {"custlname": "md5", "custfname": "md5"}),
             "denormalised": denormalised,
-            "numbered": lambda: numbered(denormalised()),
-            "profile_sample": lambda: sample_rows(curated, 0.2, seed=10),
-            "profile_summary": lambda: curated.summary(),
-            "profile_pairs": lambda: pair_statistics(curated, [("custage", "custage")]),
+            "numbered": lambda: numbered(once("denormalised", denormalised)),
+            "profile_sample": lambda: sample_rows(curated(), 0.2, seed=10),
+            "profile_summary": lambda: curated().summary(),
+            "profile_pairs": lambda: pair_statistics(curated(), [("custage", "custage")]),
             "profile_frequent": lambda: frequent_values(
-                curated, ["custprofession", "agegroup"], 0.4
+                curated(), ["custprofession", "agegroup"], 0.4
             ),
         }
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +23,7 @@ SESSION_CONF = {
 }
 
 _local_dirs: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def build_session(
@@ -39,13 +43,13 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Without that setting a temporary folder is used, which is only right when
-    driver and executors share one machine.
+    Without that setting a temporary folder is used, which is only right in
+    local mode, where driver and executors are one process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
@@ -55,7 +59,36 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/loomwork/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/loomwork/{label}-{uuid.uuid4().hex}"
+    for made in _scopes:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what the block stages below the shared folder when it ends.
+
+    Frames built on staged data must be written or read inside the block.
+    Tables whose files lie in that folder, or that are named after a path in it,
+    are dropped.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in made:
+            spark.sql(f"DROP TABLE IF EXISTS {table_of(path)}")
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(hadoop).delete(place, True)
+
+
+def table_of(path: str) -> str:
+    """Name of the scratch table that goes with a scratch path."""
+    return "loomwork_" + path.rsplit("-", 1)[-1]
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -89,6 +89,9 @@ def write_options(connection: Connection, table: str, batch_rows: int = 10_000)
 def write_jdbc(
     df: DataFrame, connection: Connection, table: str, mode: str = "append", writers: int = 16
 ) -> None:
-    """Write with at most ``writers`` connections open at once."""
+    """Write with at most ``writers`` connections open at once.
+
+    The shuffle keeps the tasks before it as many as they were.
+    """
     options = {**write_options(connection, table), "numPartitions": str(writers)}
-    df.write.format("jdbc").options(**options).mode(mode).save()
+    df.repartition(writers).write.format("jdbc").options(**options).mode(mode).save()

@@ -16,7 +16,7 @@ class SinkSpec:
 
     ``table`` without ``path`` is a managed table, with ``path`` an external
     one.  ``touched_partitions_only`` makes an overwrite replace just the
-    partitions present in the data.  ``files`` gathers the output into that many
+    partitions present in the data, of a folder or of an existing table.  ``files`` gathers the output into that many
     files and is meant for small results; ``rows_per_file`` bounds file sizes
     without squeezing the write through few tasks.
     """
@@ -54,15 +54,40 @@ def save(df: DataFrame, spec: SinkSpec) -> None:
         buckets, columns = spec.bucket_by
         writer = writer.bucketBy(buckets, *columns).sortBy(*columns)
     if spec.table is not None:
+        spark = df.sparkSession
+        if spec.touched_partitions_only and spec.mode == "overwrite" and spark.catalog.tableExists(spec.table):
+            _replace_partitions(df, spec.table)
+            return
         if spec.path is not None:
             writer = writer.option("path", spec.path)
         writer.saveAsTable(spec.table)
     elif spec.path is not None:
         writer.save(spec.path)
+    elif spec.format == "jdbc":
+        writer.save()
     else:
         raise ValueError("a sink needs a path or a table")
 
 
+def _replace_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions of an existing table that ``df`` holds rows of.
+
+    Saving as a table would replace the table; an insert keeps the rest.
+    Columns are put in the table's order by name.
+    """
+    spark = df.sparkSession
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 def migrate(spark: SparkSession, source: SourceSpec, sink: SinkSpec) -> None:
     """Move data from one format to another."""
     save(load(spark, source), sink)

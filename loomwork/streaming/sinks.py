@@ -38,12 +38,6 @@ def to_console(df: DataFrame, every: str | None = None) -> StreamingQuery:
     return df.writeStream.format("console").outputMode("append").trigger(**trigger(every)).start()
 
 
-def to_memory(df: DataFrame, name: str, every: str | None = None) -> StreamingQuery:
-    """Small results only: every row is kept on the driver."""
-    writer = df.writeStream.format("memory").queryName(name).outputMode("append")
-    return writer.trigger(**trigger(every)).start()
-
-
 def to_index(
     df: DataFrame,
     fmt: str,

@@ -28,7 +28,7 @@ from loomwork.operators.columns import (
 )
 from loomwork.operators.joins import grid, rules_lookup, upsert
 from loomwork.operators.layout import broadcast_small, cached, cut_lineage, layout, partition_sizes
-from loomwork.operators.profile import frequent_values, profile, sample_by_hash
+from loomwork.operators.profile import frequent_exact, frequent_values, profile, sample_by_hash
 from loomwork.operators.text import (
     LINE_ORDER,
     line_order,
@@ -141,8 +141,8 @@ def test_sql_functions_are_inlined(spark):
     df = spark.sql("SELECT age_group(CAST(id AS INT)) AS g, to_upper('a') AS u FROM range(12, 20)")
     assert {r.g for r in df.collect()} == {"Children", "Teen", "Adults"}
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
-    arrow = spark.sql("SELECT 'ab' AS v").select(sql_functions.arrow_upper()("v").alias("v"))
-    assert arrow.first().v == "AB"
+    arrow = spark.sql("SELECT 'áb̂ ñ' AS v").select(sql_functions.unaccented()("v").alias("v"))
+    assert arrow.first().v == "ab n"
 
 
 def test_offers_and_interest(spark):
@@ -222,36 +222,51 @@ def test_upsert_and_rules(spark):
     assert values(once) == [("abel", 20), ("cara", 12), ("paul", 25)]
     assert values(upsert(once, changes, ["name"])) == values(once)
     rules = spark.createDataFrame(
-        [("TN", "Chennai", "Guindy", 2), ("TN", "Chennai", None, 4), ("TN", None, None, 17)],
-        "state STRING, city STRING, area STRING, rate INT",
+        [("north", "Ulm", "dock", 3), ("north", "Ulm", None, 6), ("north", None, None, 11)],
+        "zone STRING, town STRING, quarter STRING, rate INT",
     )
     places = spark.createDataFrame(
-        [("TN", "Chennai", "Guindy"), ("TN", "Chennai", "Other"), ("TN", "Salem", "A"), ("KE", "K", "B")],
-        "state STRING, city STRING, area STRING",
+        [("north", "Ulm", "dock"), ("north", "Ulm", "hill"), ("north", "Kiel", "x"), ("west", "y", "z"), (None, None, None)],
+        "zone STRING, town STRING, quarter STRING",
     )
-    rated = rules_lookup(places, rules, ["state", "city", "area"], "rate", default=0)
-    assert sorted(r.rate for r in rated.collect()) == [0, 2, 4, 17]
+    levels = ["zone", "town", "quarter"]
+    rated = rules_lookup(places, rules, levels, "rate", default=0)
+    assert rated.columns == [*levels, "rate"]
+    assert sorted(r.rate for r in rated.collect()) == [0, 0, 3, 6, 11]
+    everywhere = rules.unionByName(spark.createDataFrame([(None, None, None, 8)], rules.schema))
+    assert sorted(r.rate for r in rules_lookup(places, everywhere, levels, "rate", default=0).collect()) == [3, 6, 8, 8, 11]
+    for bad in ((None, "Ulm", None, 1), ("north", "Ulm", None, 7)):
+        with pytest.raises(ValueError):
+            rules_lookup(places, rules.unionByName(spark.createDataFrame([bad], rules.schema)), levels, "rate")
 
 
-def test_grid_refuses_large_sides(spark):
+def test_rules_of_any_length(spark):
+    rules = spark.range(30_000).select(F.col("id").cast("string").alias("zone"), F.col("id").alias("rate"))
+    places = spark.createDataFrame([("7",), ("29999",), ("none",)], "zone STRING")
+    assert sorted(r.rate for r in rules_lookup(places, rules, ["zone"], "rate", default=-1).collect()) == [-1, 7, 29999]
+
+
+def test_grid_bounds_its_cells(spark):
     assert grid(spark.range(2), spark.range(3).toDF("b")).count() == 6
+    assert grid(spark.range(0), spark.range(3).toDF("b")).count() == 0
+    assert grid(spark.range(10), spark.range(10).toDF("b"), max_cells=100).count() == 100
     with pytest.raises(ValueError):
-        grid(spark.range(100), spark.range(3).toDF("b"), small_rows=50)
+        grid(spark.range(10), spark.range(11).toDF("b"), max_cells=100)
 
 
 def test_tokens_and_counts(spark, tmp_path):
-    (tmp_path / "words").write_text("hadoop spark hadoop\nspark hive\n")
+    (tmp_path / "words").write_text("loom weft loom\nweft warp\n")
     lines = spark.read.text(str(tmp_path / "words"))
     assert tokens(lines, "value").count() == 5
-    assert values(word_count(lines, "value")) == [("hadoop", 2), ("hive", 1), ("spark", 2)]
+    assert values(word_count(lines, "value")) == [("loom", 2), ("warp", 1), ("weft", 2)]
 
 
 def test_ragged_lines(spark):
-    lines = spark.createDataFrame([("Ann,chennai,33,2016-09-20,100",), ("Bob,41,2016-09-20,5",)], "value STRING")
+    lines = spark.createDataFrame([("Ida,Turin,52,2031-02-14,640",), ("Kai,29,2031-02-15,8",)], "value STRING")
     assert wide_enough(lines, "value", ",", 5).count() == 1
     typed = split_columns(lines, "value", ",", [("name", "string"), ("city", "string"), ("age", "int"), ("day", "date"), ("amt", "int")])
-    assert [r.amt for r in typed.orderBy("name").collect()] == [100, None]
-    assert without_header(lines, "value", "Bob,41,2016-09-20,5").count() == 1
+    assert [r.amt for r in typed.orderBy("name").collect()] == [640, None]
+    assert without_header(lines, "value", "Kai,29,2031-02-15,8").count() == 1
 
 
 def test_separators_are_literal(spark):
@@ -288,6 +303,13 @@ def test_profile_and_samples(spark):
     assert pair.correlation == pytest.approx(1.0) and pair.covariance == pytest.approx(df.cov("id", "d"))
     assert found["summary"].count() == 8
     assert "x" in frequent_values(df, ["c"], 0.4).first()[0]
+    assert sample_by_hash(df, "id", 1).count() == 1000 and sample_by_hash(df, "id", 0).count() == 0
+    assert sample_by_hash(spark.range(200_000), "id", 1e-4).count() in range(5, 60)
+    assert sample_by_hash(df.withColumn("none", F.lit(None)), "none", 1).count() == 1000
+    with pytest.raises(ValueError):
+        sample_by_hash(df, "id", 1.5)
+    nulls = df.select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("v"))
+    assert values(frequent_exact(nulls, "v", 0.4)) == [(None, 500)]
     sampled = sample_by_hash(df, "id", 0.2)
     assert 120 < sampled.count() < 280
     assert values(sample_by_hash(df.repartition(7), "id", 0.2)) == values(sampled)

@@ -88,6 +88,57 @@ def test_split_join_spreads_a_heavy_key_of_identical_rows(spark, dim, tmp_path):
     assert max(r["count"] for r in tasks) <= 2500
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+@pytest.mark.parametrize("on", ["shared", "apart", "mixed"])
+def test_column_order_is_that_of_the_plain_join(spark, fact, dim, how, on):
+    left = fact.select("id", "k", F.col("id").alias("m"), "amt")
+    right = dim.select("name", F.col("dk").alias("k") if on != "apart" else "dk", F.lit(1).alias("m2"))
+    pairs = {"shared": ["k"], "apart": [("k", "dk")], "mixed": ["k", ("m", "m2")]}[on]
+    by_way = [skew_join(left, right, pairs, how, hot=hot, group_rows=n).columns for hot in ("left", "right") for n in (None, 0, 100, 10**9)]
+    assert all(c == by_way[0] for c in by_way)
+    if on == "shared":
+        assert by_way[0] == left.join(right, ["k"], how).columns or how in ("left_semi", "left_anti")
+    small = lookup(left, right, pairs, "inner", small_rows=10**6).columns
+    assert small == lookup(left, right, pairs, "inner", small_rows=1).columns == skew_join(left, right, pairs).columns
+
+
+@pytest.mark.parametrize("small_rows", [None, 1, 10**6])
+def test_lookup_refuses_clashing_names_at_any_size(fact, small_rows):
+    with pytest.raises(ValueError, match="rename"):
+        lookup(fact, fact.select("k", "note"), ["k"], small_rows=small_rows)
+
+
+def _jobs(spark, work):
+    """Jobs and tasks that ``work`` starts, by Spark's own counts."""
+    tracker, group = spark.sparkContext.statusTracker(), f"probe-{id(work)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = tracker.getJobIdsForGroup(group)
+    stages = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+    return len(jobs), [tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)]
+
+
+def test_smallness_is_found_without_reading_all(spark):
+    wide = spark.range(0, 1_000_000, 1, 64)
+    jobs, tasks = _jobs(spark, lambda: is_small(wide, 1000))
+    assert not is_small(wide, 1000) and is_small(wide.limit(10), 1000)
+    assert jobs == 1 and tasks == [1]
+
+
+def test_joins_declare_without_jobs(spark, data, fact, dim):
+    from loomwork.catalog import REGISTRY
+
+    build = lambda: REGISTRY["segment_metrics"](spark, data)
+    build()
+    # Reading a Parquet footer is a job of its own; there are two tables.
+    assert _jobs(spark, build)[0] <= 2
+    assert _jobs(spark, lambda: skew_join(fact, dim, [("k", "dk")], "left"))[0] == 0
+    assert _jobs(spark, lambda: lookup(fact, dim, [("k", "dk")]))[0] == 0
+
+
 def test_names_on_both_sides_are_refused(fact):
     with pytest.raises(ValueError, match="rename"):
         skew_join(fact, fact, ["k"], "inner")
