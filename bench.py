@@ -52,6 +52,11 @@ HEADLINE = [
     "stream_filter",
     "stream_latest_by_key",
     "batch_age_metrics",
+    "join_inner_split",
+    "join_full_split",
+    "numbers_split",
+    "ranks_split",
+    "lag_lead_split",
 ]
 
 

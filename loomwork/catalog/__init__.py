@@ -5,6 +5,7 @@ from loomwork.catalog import (  # noqa: F401  (importing fills the registry)
     columns,
     files,
     filters,
+    heavy,
     joins,
     jobs,
     metrics,

@@ -212,6 +212,16 @@ def correlation_covariance(t):
     )
 
 
+@query("""
+    SELECT unnest(['missing: c_comment', 'extra: segment', 'type of c_acctbal: double != string']) AS difference
+""")
+def schema_validity(t):
+    """What a delivered table lacks, adds or types differently, against what is expected."""
+    expected = t.customer.withColumn("c_comment", F.lit("")).select("c_custkey", "c_acctbal", "c_comment")
+    delivered = t.customer.select("c_custkey", F.col("c_acctbal").cast("string"), F.col("c_mktsegment").alias("segment"))
+    return t.spark.createDataFrame([(d,) for d in quality.schema_diff(expected, delivered)], "difference STRING")
+
+
 def _summary_row(name, measure):
     return f"SELECT '{name}' AS summary, round({measure}(o_orderkey)::DOUBLE, 3) AS o_orderkey, round({measure}(o_totalprice)::DOUBLE, 3) AS o_totalprice FROM orders"
 
@@ -274,7 +284,7 @@ def sample_seeded(t):
     keys = ["o_orderkey", "o_custkey"]
     drawn = sample_rows(t.orders.select(*keys), 0.2, 10)
     tagged = drawn.withColumn("drawn", F.lit(1)).unionByName(t.orders.select(*keys, F.lit(0).alias("drawn")))
-    per_key = tagged.groupBy(*keys).agg(F.sum("drawn").alias("drawn"), F.count_if("drawn = 0").alias("rows"))
+    per_key = tagged.groupBy(*keys).agg(F.sum("drawn").alias("drawn"), F.count_if(F.col("drawn") == 0).alias("rows"))
     share = F.sum("drawn") / F.sum("rows")
     return per_key.agg(
         F.count_if(F.col("drawn") > F.col("rows")).alias("strangers"),

@@ -2,6 +2,7 @@
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from loomwork.catalog.registry import portable, query
@@ -91,6 +92,21 @@ def batch_age_metrics(t):
     return portable(t.spark.read.parquet(f"{out}/age_metrics"))
 
 
+@query("SELECT unnest(['age_metrics', 'no_such_column']) AS stage, unnest(['succeeded', 'failed']) AS status, unnest([false, true]) AS has_error")
+def batch_audit(t):
+    """Audit rows of a stage that was published and of one that failed."""
+    frames = _run(t)
+    out = scratch_path(t.spark, "batch-audit")
+    audit = Audit(t.spark, f"{out}/audit")
+    publish(frames, {"age_metrics": SinkSpec("parquet", f"{out}/age_metrics")}, audit)
+    try:
+        with audit.stage("no_such_column"):
+            save(frames["curated"], SinkSpec("parquet", f"{out}/none", partition_by=["no_such_column"]))
+    except AnalysisException:
+        pass
+    return audit.entries().select("stage", "status", F.col("error").isNotNull().alias("has_error"))
+
+
 _JOINED = f"""
     SELECT o_orderkey AS txnid, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dt, c_custkey AS id, age AS custage,
            row_number() OVER (ORDER BY o_orderdate, o_orderkey, c_custkey, age) AS sno

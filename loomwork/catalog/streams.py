@@ -89,6 +89,20 @@ def stream_envelope(t):
     return _landed(t, made.withColumn("event_type", F.upper("event_type")), schema)
 
 
+@query("SELECT event_id, user_id, event_id * 2 AS total FROM events")
+def stream_restarted(t):
+    """A stream stopped and started again takes up only what arrived meanwhile."""
+    columns = "event_id BIGINT, user_id BIGINT"
+    out, checkpoint = scratch_path(t.spark, "restart-out"), scratch_path(t.spark, "restart-ck")
+    source = scratch_path(t.spark, "restart-in")
+    rows = t.events.select("event_id", "user_id")
+    for part in ("event_id % 2 = 0", "event_id % 2 = 1"):
+        save(rows.where(part), SinkSpec("json", source, mode="append"))
+        stream = read_files(t.spark, "json", source, columns)
+        to_files(stream.withColumn("total", F.col("event_id") * 2), "parquet", out, checkpoint).awaitTermination()
+    return load(t.spark, SourceSpec("parquet", out, f"{columns}, total BIGINT"))
+
+
 @query("SELECT event_id, user_id, event_id + user_id AS total FROM events")
 def stream_csv_to_json(t):
     source = _arrivals(t, t.events.select("event_id", "user_id"), "csv", "stream-convert")

@@ -148,6 +148,7 @@ def lag_lead(t):
     )
 
 
+# The three labels, prioramt, masked_custid and custcnt are names of the result.
 _PATTERN = f"""
     SELECT o_orderkey, o_custkey, o_totalprice, prioramt,
            CASE WHEN prioramt = 0 THEN 'very first trans'

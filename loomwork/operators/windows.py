@@ -115,27 +115,50 @@ def shift_rows(
         )
 
     def wide(part: DataFrame) -> DataFrame:
-        # (key, row number) is unique, so this join spreads a heavy key evenly.
+        # Numbered rows fall into chunks of a bounded size.  Inside a chunk the
+        # window does it; a row near the edge finds its neighbour among the few
+        # edge rows of all chunks, so the rows move once and are not joined
+        # with themselves.
         rows = stage(_rank_segments(part, keys, order, [], {"row": "_n"}), "numbered")
-        result = rows
+        reach = max(abs(k) for _, k, _ in columns.values())
+        size = max(group_rows, 4 * reach)
+        place = F.col("_n") - 1
+        rows = rows.withColumn("_chunk", F.floor(place / size))
+        at = F.pmod(place, F.lit(size))
+        edges = rows.where((at < reach) | (at >= size - reach))
+        window = Window.partitionBy(*keys, "_chunk").orderBy("_n")
+        inner = {f"_v{i}": F.lag(c, k).over(window) for i, (c, k, _) in enumerate(columns.values())}
+        result = rows.withColumns(inner)
         for i, (name, (column, offset, default)) in enumerate(columns.items()):
-            other = rows.select(
+            other = edges.select(
                 *[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)],
                 (F.col("_n") + offset).alias("_m"),
-                F.col(column).alias(f"_v{i}"),
+                F.col(column).alias("_edge"),
                 F.lit(True).alias("_hit"),
             )
-            same = F.col("_n") == F.col("_m")
+            crosses = F.floor((F.col("_n") - offset - 1) / size) != F.col("_chunk")
+            same = (F.col("_n") == F.col("_m")) & crosses
             for j, key in enumerate(keys):
                 same = same & F.col(key).eqNullSafe(F.col(f"_k{j}"))
             kind = part.schema[column].dataType
-            value = F.when(F.col("_hit"), F.col(f"_v{i}")).otherwise(F.lit(default).cast(kind))
+            missing = F.lit(default).cast(kind)
+            # Inside a chunk the neighbour is missing only past the key's end.
+            past = (F.col("_n") - offset < 1) | (F.col("_n") - offset > F.col("_last"))
+            value = F.when(F.col("_hit"), F.col("_edge")).when(crosses | past, missing).otherwise(F.col(f"_v{i}"))
+            if i == 0:
+                last = rows.groupBy(*keys).agg(F.max("_n").alias("_last"))
+                last = last.select(*[F.col(k).alias(f"_l{j}") for j, k in enumerate(keys)], "_last")
+                ends = F.lit(True)
+                for j, key in enumerate(keys):
+                    ends = ends & F.col(key).eqNullSafe(F.col(f"_l{j}"))
+                # One row per heavy key.
+                result = result.join(F.broadcast(last), ends).drop(*[f"_l{j}" for j in range(len(keys))])
             result = (
-                result.join(other, same, "left")
+                result.join(F.broadcast(other), same, "left")
                 .withColumn(name, value)
-                .drop("_m", "_hit", f"_v{i}", *[f"_k{j}" for j in range(len(keys))])
+                .drop("_m", "_hit", "_edge", *[f"_k{j}" for j in range(len(keys))])
             )
-        return result.drop("_n")
+        return result.select(*part.columns, *columns)
 
     return _per_key(df, keys, group_rows, plain, wide)
 

@@ -105,6 +105,7 @@ def age_by_profession(df: DataFrame, above: float) -> DataFrame:
     )
 
 
+# The column names below are those of the published table.
 def age_metrics(df: DataFrame, excluded: str, above: float) -> DataFrame:
     return dim_metrics(
         df,
