@@ -12,20 +12,24 @@ def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every end of a link in ``links(a, b)``.
 
     ``component`` is the smallest node that can be reached.  In each round every
-    node moves to the neighbour, or itself, that comes first in an order drawn
-    anew, and links between nodes that have met vanish; in expectation a fixed
-    share of the nodes goes in each round, also along chains.  Minima combine
-    before the shuffle, so a node with a third of all links is no burden.
-    Rounds are cut by written tables.  Links of a node to itself and null ends
-    are ignored.
+    node moves to the neighbour, or itself, that has most links, and links
+    between nodes that have met vanish.  A star is gone in one round; among
+    equals an order drawn anew decides, so chains shrink by a fixed share in
+    expectation.  Counts and minima combine before the shuffle, so a node with a
+    third of all links is no burden.  Rounds are cut by written tables.  Links of
+    a node to itself and null ends are ignored.
     """
     edges = stage(_tidy(links.select("a", "b")), "links")
     labels = None
     turn = 0
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        rank = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("r"), F.col(c).alias("node"))
-        moves = both.groupBy("a").agg(F.least(F.first(rank("a")), F.min(rank("b"))).alias("_to"))
+        rank = lambda c, n: F.struct(-F.col(n), F.xxhash64(F.lit(turn), c), F.col(c).alias("node"))
+        degrees = both.groupBy("a").agg(F.count(F.lit(1)).alias("_n"))
+        ranked = degrees.select("a", rank("a", "_n").alias("_own"))
+        onto = ranked.select(F.col("a").alias("b"), F.col("_own").alias("_other"))
+        best = both.join(onto, "b").groupBy("a").agg(F.min("_other").alias("_best"))
+        moves = best.join(ranked, "a").select("a", F.least("_own", "_best").alias("_to"))
         moves = stage(moves.select(F.col("a").alias("node"), F.col("_to.node").alias("to")), "moves")
         if labels is None:
             labels = moves
