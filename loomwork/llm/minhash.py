@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm.graph import components
@@ -14,8 +16,13 @@ from loomwork.llm.hashing import ODD, SPACE, Texts, mix, windows, words
 from loomwork.llm.ship import map_batches
 from loomwork.session import stage
 
-BIN_BITS = 7
+BIN_BITS = 8
 BINS = 1 << BIN_BITS
+# Bits kept of each bin's value to judge pairs by.
+MARK_BITS = 2
+# Counters of hashed shingles that order them by rarity.
+COUNTER_BITS = 20
+MARK_WORDS = BINS * MARK_BITS // 64
 _EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BIN_BITS)
 _rng = np.random.Generator(np.random.PCG64(7))
 # For each empty bin, the bins it may borrow from in an order of its own: the
@@ -25,21 +32,16 @@ _BORROW = np.stack([_rng.permutation(BINS) for _ in range(BINS)])
 
 @dataclass(frozen=True)
 class Near:
-    """Parameters: words per shingle, similarity in percent, bins per band, and how
-    many pairs per bucket member may be listed at once in the closing round.
+    """Parameters: words per shingle, similarity in percent, bands and bins per band.
 
     With 32 bands of 4 bins a pair of similarity 0.8 meets in no band with a
-    chance of 5e-8.
+    chance of 5e-8.  The other bins serve to judge pairs.
     """
 
     shingle: int = 4
     percent: int = 80
     rows: int = 4
-    pairs_per_member: int = 16
-
-    @property
-    def bands(self) -> int:
-        return BINS // self.rows
+    bands: int = 32
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -84,11 +86,11 @@ def signatures(docs: DataFrame, near: Near) -> DataFrame:
     """``doc_id, n_shingles, set_a, set_b, keys, bits`` of every row.
 
     ``set_a, set_b`` are a 128-bit mark of the set, null for an empty set;
-    ``keys`` one bucket per band; ``bits`` one bit of each bin's value, which
+    ``keys`` one bucket per band; ``bits`` two bits of each bin's value, which
     tell dissimilar pairs apart without their texts.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = near.rows
+    rows, bands = near.rows, near.bands
 
     def run(batch: pa.RecordBatch):
         sets = shingle_sets(batch.column(1), near.shingle)
@@ -102,12 +104,14 @@ def signatures(docs: DataFrame, near: Near) -> DataFrame:
                 marks[1, i] = mix(own ^ ODD[1]).sum()
                 values[i] = signature(own)
         none = counts == 0
-        banded = values.reshape(n, BINS // rows, rows)
-        keys = np.arange(BINS // rows, dtype=np.uint64)[None, :] * ODD[2]
+        banded = values[:, : bands * rows].reshape(n, bands, rows)
+        keys = np.arange(bands, dtype=np.uint64)[None, :] * ODD[2]
         for k in range(rows):
             keys = keys + mix(banded[:, :, k] * ODD[3 + k])
         keys = mix(keys).astype(np.int64)
-        bits = np.packbits((mix(values) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+        hashed = mix(values)
+        marks_of = [(hashed >> np.uint64(k)) & np.uint64(1) for k in range(MARK_BITS)]
+        bits = np.packbits(np.concatenate(marks_of, axis=1).astype(np.uint8), axis=1).view(np.int64)
 
         def lists(matrix):
             ends = np.arange(n + 1, dtype=np.int32) * matrix.shape[1]
@@ -173,15 +177,16 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     1. Equal sets form a class, known by its smallest id, so copies cost one row.
     2. Classes fall into buckets by band.  In each bucket all members are paired
        with the smallest id: a star, so pairs grow as members do.
-    3. Pairs whose bits rule similarity out are dropped: agreement at six
-       standard deviations below what the asked similarity gives.
+    3. Pairs whose bits rule similarity out are dropped: agreement five standard
+       deviations below what the asked similarity gives.
     4. The rest are confirmed on their full sets, and linked classes become
        components.
     5. A bucket that still holds members of different components may hide a link
-       that its centre did not show.  While listing the pairs across components
-       would take more than ``pairs_per_member`` pairs a member, each such
-       bucket gets a star around another member; then the rest are listed.  So
-       every pair that meets in a bucket is either in one component or tested.
+       that its centre did not show.  Of two sets similar enough, the rarest
+       shingles of each, down to a length that the similarity fixes, must share
+       one (prefix filter).  Classes in such buckets are paired by these, again
+       only across components and past the bits, and confirmed.  A passage that
+       many texts share is no rare shingle of theirs, so they do not all meet.
 
     Texts without a word, null included, are linked with nothing.  Rows that
     share an id are separate rows, which one id stands for; a null id is a
@@ -216,7 +221,8 @@ def _links(classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
     shared = entries.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("_n"))
     members = entries.join(shared.where("_n > 1"), "key").select("key", "rep", "centre")
     members = stage(members, "members")
-    bits = classes.select("rep", "bits", "n_shingles")
+    # Plain columns: a pair is compared in compiled code.
+    bits = classes.select("rep", "n_shingles", *[F.get("bits", F.lit(k)).alias(f"bits{k}") for k in range(MARK_WORDS)])
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = stage(docs.select("doc_id", "text").join(wanted, "doc_id"), "texts")
 
@@ -224,59 +230,97 @@ def _links(classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
         return stage(verified(_plausible(pairs, bits, near), texts, near), "confirmed")
 
     links = confirm(members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct())
-    tried = members.select("key", F.col("centre").alias("tried")).distinct()
-    turn = 0
-    while True:
-        turn += 1
-        found = components(links)
-        placed = members.join(found, members["rep"] == found["node"], "left").select(
-            "key", "rep", F.coalesce("component", "rep").alias("component")
-        )
-        parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        sums = parts.groupBy("key").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.count(F.lit(1)).alias("parts")
-        )
-        # Members that have been a centre have met all others.
-        left = sums.where("parts > 1").select("key", ((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), "n")
-        placed = stage(
-            placed.join(left, "key").join(tried, (tried["tried"] == placed["rep"]) & (tried["key"] == placed["key"]), "left_anti"),
-            "open-buckets",
-        )
-        across = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn")
-        )
-        total = across.agg(
-            F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), F.sum("n").alias("members")
-        ).first()
-        if not total["pairs"]:
-            return links
-        one = placed.select("key", F.col("rep").alias("a"), F.col("component").alias("_a"))
-        if total["pairs"] <= near.pairs_per_member * total["members"]:
-            other = placed.select("key", F.col("rep").alias("b"), F.col("component").alias("_b"))
-            pairs = one.join(other, "key").where("_a <> _b AND a > b").select("a", "b").distinct()
-            return links.unionByName(confirm(pairs))
-        order = F.xxhash64(F.lit(turn), "rep")
-        centres = placed.groupBy("key").agg(
-            F.min_by("rep", order).alias("b"), F.min_by("component", order).alias("_b")
+    found = components(links)
+    placed = members.join(found, members["rep"] == found["node"], "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("component")
+    )
+    mixed = _of_several(placed, "key")
+    loose = stage(placed.join(mixed, "key").select("rep", "component").distinct(), "open")
+    if loose.isEmpty():
+        return links
+    rare = _rare_shingles(texts.join(loose.select(F.col("rep").alias("doc_id")), "doc_id"), near)
+    met = rare.join(loose, "rep")
+    met = stage(met.join(_of_several(met, "key"), "key"), "rare-shingles").join(bits, "rep")
+    one, other = _side(met, "a"), _side(met, "b")
+    apart = (F.col("component_a") != F.col("component_b")) & (F.col("a") > F.col("b"))
+    # What follows the first shared shingle in either order bounds the overlap
+    # (positional filter).
+    rest = F.least(F.col("n_shingles_a") - F.col("place_a"), F.col("n_shingles_b") - F.col("place_b"))
+    enough = (100 + near.percent) * rest >= near.percent * (F.col("n_shingles_a") + F.col("n_shingles_b"))
+    pairs = one.join(other, (one["key"] == other["key"]) & apart & enough & _alike(near)).select("a", "b").distinct()
+    return links.unionByName(stage(verified(pairs, texts, near), "confirmed"))
+
+
+def _of_several(placed: DataFrame, key: str) -> DataFrame:
+    """Keys that members of more than one component share."""
+    spans = placed.groupBy(key).agg(F.min("component").alias("_least"), F.max("component").alias("_most"))
+    return spans.where("_least <> _most").select(key)
+
+
+def _rare_shingles(docs: DataFrame, near: Near) -> DataFrame:
+    """``rep, key, place``: the rarest shingles of each text that a similar set must touch.
+
+    Sets of similarity s that are ordered alike share an element among the first
+    |A| - ceil(s |A|) + 1 of each, whatever the order; ``place`` is that in the
+    order, from 0.  The order is by counts of
+    hashed shingles, a table of a fixed number of counters, then by hash.
+    """
+    slots = (1 << COUNTER_BITS) - 1
+
+    def count(batch: pa.RecordBatch):
+        sets = shingle_sets(batch.column(1), near.shingle)
+        if sets:
+            slot, n = np.unique((np.concatenate(sets) & np.uint64(slots)).astype(np.int32), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n)], names=["slot", "n"])
+
+    counted = map_batches(docs.select("doc_id", "text"), count, "slot int, n bigint", max_bytes=4 << 20)
+    # A table of at most 2 ** COUNTER_BITS rows, whatever the data.
+    rows = counted.groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(slots + 1, np.int64)
+    counts[rows["slot"]] = rows["n"]
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+
+    def first(batch: pa.RecordBatch):
+        table, keys, lengths = shared.value, [], []
+        for own in shingle_sets(batch.column(1), near.shingle):
+            order = np.lexsort((own, table[(own & np.uint64(slots)).astype(np.int64)]))
+            size = len(own) + (near.percent * len(own)) // -100 + 1 if len(own) else 0
+            keys.append(own[order[:size]])
+            lengths.append(size)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(pa.array(np.repeat(np.arange(len(lengths)), lengths))),
+                pa.array(np.concatenate(keys).astype(np.int64) if keys else np.zeros(0, np.int64)),
+                pa.array(np.concatenate([np.arange(n) for n in lengths]) if keys else np.zeros(0, np.int64)),
+            ],
+            names=["rep", "key", "place"],
         )
-        pairs = one.join(centres, "key").where("_a <> _b").select("a", "b").distinct()
-        links = stage(links.unionByName(confirm(pairs)), "links")
-        tried = stage(tried.unionByName(centres.select("key", F.col("b").alias("tried"))), "tried")
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs.select("doc_id", "text"), first, f"rep {kind}, key bigint, place bigint", max_bytes=4 << 20)
+
+
+def _alike(near: Near) -> Column:
+    """Whether sizes and bits allow the two sides of a pair to be similar."""
+    share = near.percent / 100
+    # Per bin: all bits agree with the chance ``share``, else each does with 1/2.
+    mean = MARK_BITS * (1 + share) / 2
+    variance = (1 - share) * MARK_BITS / 4 + share * (1 - share) * (MARK_BITS / 2) ** 2
+    most = BINS * (MARK_BITS - mean) + 5 * (BINS * variance) ** 0.5
+    parts = [F.bit_count(F.col(f"bits{k}_a").bitwiseXOR(F.col(f"bits{k}_b"))) for k in range(MARK_WORDS)]
+    n_a, n_b = F.col("n_shingles_a"), F.col("n_shingles_b")
+    return (100 * F.least(n_a, n_b) >= near.percent * F.greatest(n_a, n_b)) & (reduce(add, parts) <= most)
+
+
+def _side(rows: DataFrame, side: str) -> DataFrame:
+    """Columns of one side of a pair, which is known by its class."""
+    named = {c: f"{c}_{side}" for c in rows.columns if c != "key"}
+    return rows.withColumnsRenamed({**named, "rep": side})
 
 
 def _plausible(pairs: DataFrame, bits: DataFrame, near: Near) -> DataFrame:
     """Pairs that sizes and bits do not rule out."""
-    share = near.percent / 100
-    # Unequal values still agree in half of their bits.
-    agree = (1 + share) / 2
-    least = BINS * agree - 6 * (BINS * agree * (1 - agree)) ** 0.5
-    a = bits.select(F.col("rep").alias("a"), F.col("bits").alias("_a"), F.col("n_shingles").alias("_na"))
-    b = bits.select(F.col("rep").alias("b"), F.col("bits").alias("_b"), F.col("n_shingles").alias("_nb"))
-    differ = sum(
-        (F.bit_count(F.get("_a", F.lit(k)).bitwiseXOR(F.get("_b", F.lit(k)))) for k in range(BINS // 64)), F.lit(0)
-    )
-    sizes = 100 * F.least("_na", "_nb") >= near.percent * F.greatest("_na", "_nb")
-    return pairs.join(a, "a").join(b, "b").where(sizes & (BINS - differ >= least)).select("a", "b")
+    return pairs.join(_side(bits, "a"), "a").join(_side(bits, "b"), "b").where(_alike(near)).select("a", "b")
 
 
 def drop_near_duplicates(docs: DataFrame, near: Near = Near(shingle=5)) -> DataFrame:

@@ -97,11 +97,10 @@ def _near_rows():
     return rows
 
 
-@pytest.mark.parametrize("pairs_per_member", [0, 16])
 @pytest.mark.parametrize("size", [4, 5])
-def test_near_classes_equal_brute_force(spark, size, pairs_per_member):
+def test_near_classes_equal_brute_force(spark, size):
     rows = _near_rows() + [(9000, "a b c"), (9001, "A b C"), (9002, "a b c d"), (9003, ""), (9004, None), (9005, " ")]
-    near = Near(shingle=size, pairs_per_member=pairs_per_member)
+    near = Near(shingle=size)
     found = near_duplicates(docs_frame(spark, rows), near).collect()
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=str) == _brute(rows, size)
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
