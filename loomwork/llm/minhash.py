@@ -21,7 +21,7 @@ BINS = 1 << BIN_BITS
 # Bits kept of each bin's value to judge pairs by.
 MARK_BITS = 2
 # Counters of hashed shingles that order them by rarity.
-COUNTER_BITS = 20
+COUNTER_BITS = 18
 MARK_WORDS = BINS * MARK_BITS // 64
 _EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BIN_BITS)
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -275,9 +275,9 @@ def _rare_shingles(docs: DataFrame, near: Near) -> DataFrame:
 
     counted = map_batches(docs.select("doc_id", "text"), count, "slot int, n bigint", max_bytes=4 << 20)
     # A table of at most 2 ** COUNTER_BITS rows, whatever the data.
-    rows = counted.groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    rows = counted.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(slots + 1, np.int64)
-    counts[rows["slot"]] = rows["n"]
+    counts[rows["slot"].to_numpy()] = rows["n"].to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def first(batch: pa.RecordBatch):

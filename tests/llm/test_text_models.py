@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from cases import AWKWARD, docs_frame, prose
 from loomwork.llm import bpe, langid, quality, toxicity
@@ -102,7 +103,7 @@ def test_toxicity_on_held_out_rows(spark, data):
     labels = spark.read.parquet(f"{data}/labels.parquet")
     weights, bias = toxicity.train(docs, labels)
     scored = toxicity.toxicity(docs, weights, bias, locate=False)
-    held = scored.join(labels, "doc_id").where(bucket_of(docs["doc_id"], 4) == 2).collect()
+    held = scored.join(labels, "doc_id").where(bucket_of(F.col("doc_id"), 4) == 2).collect()
     toxic = [r["score"] for r in held if r["toxic"] == 1]
     clean = [r["score"] for r in held if r["toxic"] == 0]
     wins = np.mean([[t > c for c in clean] for t in toxic])
@@ -216,7 +217,7 @@ def test_quality_equals_brute_force(spark):
     assert sorted(shown, key=str) == _brute_quality(rows, trusted, rules)
     kept = quality.keep_good(frame, quality.trusted_documents(labels), rules)
     assert kept.columns == frame.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in found if r["kept"])
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((r["doc_id"] for r in found if r["kept"]), key=str)
 
 
 def test_quality_without_trusted_rows(spark):
