@@ -211,16 +211,15 @@ def _judged(tag: str, attributes: dict[str, str], above: _Node) -> tuple[bool, i
 def main_text(blocks: list[Block], noisy: set[int]) -> str:
     """Blocks of the article, one a line.
 
-    Where a page marks its article or main part, that part counts; elsewhere
-    the branches that the site's style tree calls noise go.  If nothing would be
-    left they stay: a site of copies has no other text.
+    The branches that the site's style tree calls noise go from every page.  If
+    nothing would be left they stay: a site of copies has no other text.  Of
+    what is left, the part that a page marks as its article counts.
     """
     usable = [b for b in blocks if not b.noise]
-    level = max((b.level for b in usable), default=0)
-    if level:
-        return "\n".join(b.text for b in usable if b.level == level)
     left = [b for b in usable if _mark(b.path) not in noisy] if noisy else usable
-    return "\n".join(b.text for b in left or usable)
+    left = left or usable
+    level = max((b.level for b in left), default=0)
+    return "\n".join(b.text for b in left if b.level == level)
 
 
 def _mark(text: str) -> int:
@@ -317,10 +316,10 @@ def extract(pages: DataFrame, style: Style = Style()) -> DataFrame:
     """Main text of every page: ``page_id, url, text, n_chars``.
 
     The pages of a host are merged into a style tree and its branches of low
-    importance are cut from each page.  Elements that state their role come
-    first: menus, headers, footers, sidebars, forms, adverts, notices and reader
-    comments go by element, role, class or id, and a page that marks its article
-    or main part gives just that.  Scripts, styles and markup go; character
+    importance are cut from each page, whether it marks its article or not.
+    Elements that state their role come first: menus, headers, footers,
+    sidebars, forms, adverts, notices and reader comments go by element, role,
+    class or id, and of what the tree leaves, the part marked as article counts.  Scripts, styles and markup go; character
     references are decoded; white space inside a block becomes one space.
 
     A null html is empty; a page without text gives an empty text; a null or

@@ -89,6 +89,14 @@ def test_style_tree_keeps_marked_articles_and_sites_of_copies(spark):
     assert len(found) == 40 and {r["text"] for r in found} == {"same everywhere"}
 
 
+@pytest.mark.parametrize("tag", ["main", "article", "div class='content'"])
+def test_style_tree_cuts_inside_marked_parts(spark, tag):
+    end = tag.split()[0]
+    rows = [(k, u, h.replace("<body>", f"<body><{tag}>").replace("</body>", f"</{end}></body>")) for k, u, h in _site(40)]
+    found = {r["page_id"]: r["text"] for r in extract(frame(spark, rows)).collect()}
+    assert found == {k: "\n".join(f"own {k} {j} text" for j in range(1 + k % 4)) for k in range(40)}
+
+
 def test_extract_awkward_rows(spark):
     rows = [(1, None, None), (None, "not a url", "<p>a</p>"), (2, "http://x.example", ""), (2, "http://x.example", ""), (3, None, "<p>" + "w " * 100_000)]
     found = extract(frame(spark, rows)).collect()
