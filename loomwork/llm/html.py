@@ -45,7 +45,7 @@ _CLOSES = {
 }
 _SCOPE = frozenset("html body article aside div section main table td th ul ol dl form nav header footer blockquote".split())
 
-# Parts of a page that are never the article, by element, role, and class or id.
+# Hints that a part is not the article: element, role, and class or id.
 _NOISE_TAGS = frozenset("head nav footer aside form menu dialog button search fieldset".split())
 _NOISE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split()
@@ -60,6 +60,9 @@ _NOISE_NAMES = frozenset(
 # A page header is noise, the header of an article holds its title.
 _HEADER_NAMES = frozenset("header topbar".split())
 _MAIN_NAMES = frozenset("article content main post entry story".split())
+# A hint does not count for a part that holds this many times the text outside
+# of hinted parts; text in an article or main element outside counts tenfold.
+_MOST, _MARKED = 2, 10
 
 
 @dataclass(frozen=True)
@@ -73,22 +76,27 @@ class Style:
 
 @dataclass
 class Block:
-    """A run of text: its style path and that of its parent, and whether it is
-    known to be noise or part of the main text (3 article, 2 main, 1 by name)."""
+    """A run of text: its style path and that of its parent, whether it is known
+    to be noise or part of the main text (3 article, 2 main, 1 by name), and its
+    characters outside of links."""
 
     path: str
     parent: str
     text: str
     noise: bool
     level: int
+    weight: int = 0
 
 
 @dataclass
 class _Node:
+    """An open element; ``hint`` numbers the innermost one around that hints at noise."""
+
     tag: str
     path: str
-    noise: bool
+    hint: int
     level: int
+    link: bool
     children: list[str]
 
 
@@ -98,16 +106,27 @@ def parse(html: str) -> tuple[list[Block], list[tuple[str, str]]]:
     Any input gives a result: unclosed elements end with their surroundings,
     stray end tags are ignored, an unfinished tag at the end is dropped.
     """
-    root = _Node("", "", False, 0, [])
+    root = _Node("", "", 0, 0, False, [])
     stack, blocks, styles, pieces = [root], [], [], []
+    # Hinted elements by number: the hinted one around each, and the hint of each block.
+    around, hints, linked = [0], [], 0
 
     def flush() -> None:
+        nonlocal linked
         text = " ".join(unescape("".join(pieces)).split()) if pieces else ""
         pieces.clear()
         if text:
             node = next(n for n in reversed(stack) if n.tag in _BLOCK or n is root)
             parent = node.path.rpartition("/")[0]
-            blocks.append(Block(node.path, parent, text, stack[-1].noise, stack[-1].level))
+            blocks.append(Block(node.path, parent, text, False, stack[-1].level, max(0, len(text) - linked)))
+            hints.append(stack[-1].hint)
+        linked = 0
+
+    def say(text: str) -> None:
+        nonlocal linked
+        pieces.append(text)
+        if stack[-1].link:
+            linked += len(text)
 
     def pop(depth: int) -> None:
         while len(stack) > depth:
@@ -128,9 +147,9 @@ def parse(html: str) -> tuple[list[Block], list[tuple[str, str]]]:
     while at < end:
         found = _TAG.search(html, at)
         if found is None:
-            pieces.append(html[at:])
+            say(html[at:])
             break
-        pieces.append(html[at : found.start()])
+        say(html[at : found.start()])
         at = found.end()
         closing = found[1] if found[2] else found[4]
         tag = (found[2] or found[5] or "").lower()
@@ -163,7 +182,12 @@ def parse(html: str) -> tuple[list[Block], list[tuple[str, str]]]:
         if tag in _VOID:
             continue
         above = stack[-1]
-        noise, level = _judged(tag, attributes, above)
+        hinted, level = _judged(tag, attributes, above)
+        hint = above.hint
+        if hinted:
+            around.append(hint)
+            hint = len(around) - 1
+        link = tag == "a" or (above.link and tag not in _BLOCK)
         if tag in _BLOCK:
             style = tag + "".join("." + c for c in _names(attributes.get("class")))
             inner = next(n for n in reversed(stack) if n.tag in _BLOCK or n is root)
@@ -171,12 +195,38 @@ def parse(html: str) -> tuple[list[Block], list[tuple[str, str]]]:
             path = f"{above.path}/{style}"
         else:
             path = above.path
-        stack.append(_Node(tag, path, noise, level, []))
+        stack.append(_Node(tag, path, hint, level, link, []))
     flush()
     pop(1)
+    _settle(blocks, hints, around)
     return blocks, styles
 
 
+def _settle(blocks: list[Block], hints: list[int], around: list[int]) -> None:
+    """Make noise of hinted blocks, but of no part that holds most of the page's text.
+
+    Parts are freed from the one of most text on, a part before those inside it,
+    as long as they outweigh what is free; links do not count as text.
+    """
+    direct, free = [0] * len(around), 0
+    for b, hint in zip(blocks, hints):
+        if hint:
+            direct[hint] += b.weight
+        free += 0 if hint else b.weight * (_MARKED if b.level > 1 else 1)
+    whole = direct[:]
+    for hint in range(len(around) - 1, 0, -1):
+        whole[around[hint]] += whole[hint]
+    freed = {0}
+    for hint in sorted(range(1, len(around)), key=lambda k: -whole[k]):
+        if whole[hint] <= _MOST * free:
+            break
+        if around[hint] in freed:
+            freed.add(hint)
+            free += direct[hint]
+    for b, hint in zip(blocks, hints):
+        b.noise = hint not in freed
+
+
 def _attributes(source: str) -> dict[str, str]:
     if not source or source.isspace():
         return {}
@@ -189,9 +239,8 @@ def _names(value: str | None) -> list[str]:
 
 
 def _judged(tag: str, attributes: dict[str, str], above: _Node) -> tuple[bool, int]:
+    """Whether an element hints at noise, and the level of its text."""
     level = above.level
-    if above.noise:
-        return True, level
     if not attributes and tag not in _NOISE_TAGS and tag not in ("article", "main", "header"):
         return False, level
     names = {*_names(attributes.get("class")), *_names(attributes.get("id"))}
@@ -213,13 +262,18 @@ def main_text(blocks: list[Block], noisy: set[int]) -> str:
 
     The branches that the site's style tree calls noise go from every page.  If
     nothing would be left they stay: a site of copies has no other text.  Of
-    what is left, the part that a page marks as its article counts.
+    what is left, the part that a page marks as its article counts if it holds
+    half of the text or more: the narrowest such part, with all inside it.
     """
     usable = [b for b in blocks if not b.noise]
     left = [b for b in usable if _mark(b.path) not in noisy] if noisy else usable
     left = left or usable
-    level = max((b.level for b in left), default=0)
-    return "\n".join(b.text for b in left if b.level == level)
+    whole = sum(b.weight for b in left)
+    for level in sorted({b.level for b in left}, reverse=True):
+        part = [b for b in left if b.level >= level]
+        if 2 * sum(b.weight for b in part) >= whole:
+            return "\n".join(b.text for b in part)
+    return ""
 
 
 def _mark(text: str) -> int:
@@ -319,7 +373,9 @@ def extract(pages: DataFrame, style: Style = Style()) -> DataFrame:
     importance are cut from each page, whether it marks its article or not.
     Elements that state their role come first: menus, headers, footers,
     sidebars, forms, adverts, notices and reader comments go by element, role,
-    class or id, and of what the tree leaves, the part marked as article counts.  Scripts, styles and markup go; character
+    class or id, but none that holds most of a page's text: there the tree
+    decides.  Of what it leaves, the part marked as article counts if it holds
+    half of the text or more.  Scripts, styles and markup go; character
     references are decoded; white space inside a block becomes one space.
 
     A null html is empty; a page without text gives an empty text; a null or

@@ -46,6 +46,23 @@ def test_main_text_of_one_page(html, text):
     assert text_of(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<nav><a>menu</a></nav><article class='post comments-open'><p>the text</p></article>", "the text"),
+        ("<div class='layout no-sidebar'><nav><a>m</a></nav><p>the text</p><div class=ad>gone</div></div>", "the text"),
+        ("<div class='layout no-sidebar'><p>all of the long text</p><div class=ad>gone</div></div>", "all of the long text"),
+        ("<form><nav><a>m</a></nav><div class='no-sidebar'><p>the text</p></div></form>", "the text"),
+        ("<main><h1>head</h1><p>paragraph one</p><p>two</p><article>teaser</article></main>", "head\nparagraph one\ntwo\nteaser"),
+        ("<div class='entry-title'>title</div><div><p>the whole body</p></div>", "title\nthe whole body"),
+        ("<article><p>short</p></article><footer>" + "legal " * 15 + "</footer>", "short"),
+        ("<p>text</p><nav>" + "<a>a link</a> " * 50 + "</nav>", "text"),
+    ],
+)
+def test_hints_never_drop_most_of_a_page(html, text):
+    assert text_of(html) == text
+
+
 def test_pages_of_the_test_data(spark, data):
     pages = spark.read.parquet(f"{data}/pages.parquet")
     found = {r["page_id"]: r for r in extract(pages).collect()}
