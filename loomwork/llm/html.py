@@ -67,10 +67,11 @@ _MOST, _MARKED = 2, 10
 
 @dataclass(frozen=True)
 class Style:
-    """Parameters of pruning: pages a site needs before its tree counts for
-    anything, and the importance under which a branch is noise."""
+    """Parameters of pruning: pages that must show a path before it is judged,
+    and the importance under which a branch is noise.  Nothing can be told from
+    one page."""
 
-    least_pages: int = 8
+    least_pages: int = 2
     threshold: float = 0.4
 
 
@@ -109,24 +110,24 @@ def parse(html: str) -> tuple[list[Block], list[tuple[str, str]]]:
     root = _Node("", "", 0, 0, False, [])
     stack, blocks, styles, pieces = [root], [], [], []
     # Hinted elements by number: the hinted one around each, and the hint of each block.
-    around, hints, linked = [0], [], 0
+    around, hints, loose = [0], [], 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal loose
         text = " ".join(unescape("".join(pieces)).split()) if pieces else ""
         pieces.clear()
         if text:
             node = next(n for n in reversed(stack) if n.tag in _BLOCK or n is root)
             parent = node.path.rpartition("/")[0]
-            blocks.append(Block(node.path, parent, text, False, stack[-1].level, max(0, len(text) - linked)))
+            blocks.append(Block(node.path, parent, text, False, stack[-1].level, min(loose, len(text))))
             hints.append(stack[-1].hint)
-        linked = 0
+        loose = 0
 
     def say(text: str) -> None:
-        nonlocal linked
+        nonlocal loose
         pieces.append(text)
-        if stack[-1].link:
-            linked += len(text)
+        if not stack[-1].link:
+            loose += len(text.strip())
 
     def pop(depth: int) -> None:
         while len(stack) > depth:
@@ -334,9 +335,11 @@ def noisy_paths(pages: DataFrame, style: Style = Style()) -> DataFrame:
     """``host, paths``: style paths whose branch is of low importance.
 
     A content node over m pages has importance 1 minus the mean entropy, to
-    base m, of its contents over pages: a text that all pages share tells
-    nothing.  An element has the entropy, to base m, of its child styles: one
-    layout for all pages tells nothing either.  A branch is noise if both its
+    base m + 1, of its contents over pages: a text that all pages share tells
+    nothing.  An element has the entropy, to base m + 1, of its child styles: one
+    layout for all pages tells nothing either.  The page more that is counted, as
+    one that shares nothing, asks the more agreement the fewer pages there are:
+    of two pages nearly all contents must agree.  A branch is noise if both its
     contents and the element that holds it fall under the threshold.
     """
     nodes = style_nodes(pages)
@@ -356,9 +359,9 @@ def noisy_paths(pages: DataFrame, style: Style = Style()) -> DataFrame:
     shown = by_path.where("ms IS NOT NULL").select(
         F.col("host").alias("_host"),
         F.col("path").alias("_path"),
-        ((F.ln("styles") - F.col("styles_ln") / F.col("styles")) / F.ln(F.greatest("ms", F.lit(2)))).alias("look"),
+        ((F.ln("styles") - F.col("styles_ln") / F.col("styles")) / F.ln(F.col("ms") + 1)).alias("look"),
     )
-    leaves = by_path.where(F.col("m") >= style.least_pages).withColumn("told", 1 - F.col("entropy") / F.ln("m"))
+    leaves = by_path.where(F.col("m") >= style.least_pages).withColumn("told", 1 - F.col("entropy") / F.ln(F.col("m") + 1))
     low = leaves.where(F.col("told") < style.threshold).join(
         shown, (F.col("host") == F.col("_host")) & (F.col("parent") == F.col("_path")), "left"
     )

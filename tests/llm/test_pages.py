@@ -106,6 +106,13 @@ def test_style_tree_keeps_marked_articles_and_sites_of_copies(spark):
     assert len(found) == 40 and {r["text"] for r in found} == {"same everywhere"}
 
 
+@pytest.mark.parametrize("n", [2, 3, 7])
+def test_style_tree_judges_small_sites(spark, n):
+    rows = [(k, u, h.replace(f"slogan {k % 2}", "slogan")) for k, u, h in _site(n)]
+    found = {r["page_id"]: r["text"] for r in extract(frame(spark, rows)).collect()}
+    assert found == {k: "\n".join(f"own {k} {j} text" for j in range(1 + k % 4)) for k in range(n)}
+
+
 @pytest.mark.parametrize("tag", ["main", "article", "div class='content'"])
 def test_style_tree_cuts_inside_marked_parts(spark, tag):
     end = tag.split()[0]
