@@ -23,6 +23,11 @@ MARK_BITS = 2
 # Counters of hashed shingles that order them by rarity.
 COUNTER_BITS = 18
 MARK_WORDS = BINS * MARK_BITS // 64
+# Sets of so few shingles leave most bins empty, and what shares a bin by chance
+# weighs much: pairs are judged on full sets only up to ``UNMARKED`` shingles,
+# and found without buckets up to ``SMALL`` (of the smaller set).
+UNMARKED = 128
+SMALL = 32
 _EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BIN_BITS)
 _rng = np.random.Generator(np.random.PCG64(7))
 # For each empty bin, the bins it may borrow from in an order of its own: the
@@ -109,7 +114,8 @@ def signatures(docs: DataFrame, near: Near) -> DataFrame:
         for k in range(rows):
             keys = keys + mix(banded[:, :, k] * ODD[3 + k])
         keys = mix(keys).astype(np.int64)
-        hashed = mix(values)
+        # With the bin's number, or all bits of small sets would be those of few values.
+        hashed = mix(values + np.arange(BINS, dtype=np.uint64) * ODD[1])
         marks_of = [(hashed >> np.uint64(k)) & np.uint64(1) for k in range(MARK_BITS)]
         bits = np.packbits(np.concatenate(marks_of, axis=1).astype(np.uint8), axis=1).view(np.int64)
 
@@ -177,8 +183,8 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     1. Equal sets form a class, known by its smallest id, so copies cost one row.
     2. Classes fall into buckets by band.  In each bucket all members are paired
        with the smallest id: a star, so pairs grow as members do.
-    3. Pairs whose bits rule similarity out are dropped: agreement five standard
-       deviations below what the asked similarity gives.
+    3. Pairs of larger sets whose bits rule similarity out are dropped: agreement
+       six standard deviations below what the asked similarity gives.
     4. The rest are confirmed on their full sets, and linked classes become
        components.
     5. A bucket that still holds members of different components may hide a link
@@ -187,6 +193,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
        one (prefix filter).  Classes in such buckets are paired by these, again
        only across components and past the bits, and confirmed.  A passage that
        many texts share is no rare shingle of theirs, so they do not all meet.
+       Classes of few shingles, whose buckets are less sure, are all paired so.
 
     Texts without a word, null included, are linked with nothing.  Rows that
     share an id are separate rows, which one id stands for; a null id is a
@@ -223,7 +230,8 @@ def _links(classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
     members = stage(members, "members")
     # Plain columns: a pair is compared in compiled code.
     bits = classes.select("rep", "n_shingles", *[F.get("bits", F.lit(k)).alias(f"bits{k}") for k in range(MARK_WORDS)])
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    small = classes.where(near.percent * F.col("n_shingles") <= 100 * SMALL).select("rep")
+    wanted = members.select("rep").unionByName(small).distinct().withColumnRenamed("rep", "doc_id")
     texts = stage(docs.select("doc_id", "text").join(wanted, "doc_id"), "texts")
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -231,11 +239,15 @@ def _links(classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
 
     links = confirm(members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct())
     found = components(links)
-    placed = members.join(found, members["rep"] == found["node"], "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component")
-    )
+
+    def named(rows: DataFrame) -> DataFrame:
+        joined = rows.join(found, rows["rep"] == found["node"], "left")
+        return joined.select(*rows.columns, F.coalesce("component", "rep").alias("component"))
+
+    placed = named(members.select("key", "rep"))
     mixed = _of_several(placed, "key")
-    loose = stage(placed.join(mixed, "key").select("rep", "component").distinct(), "open")
+    opened = placed.join(mixed, "key").select("rep", "component")
+    loose = stage(opened.unionByName(named(small)).distinct(), "open")
     if loose.isEmpty():
         return links
     rare = _rare_shingles(texts.join(loose.select(F.col("rep").alias("doc_id")), "doc_id"), near)
@@ -301,15 +313,17 @@ def _rare_shingles(docs: DataFrame, near: Near) -> DataFrame:
 
 
 def _alike(near: Near) -> Column:
-    """Whether sizes and bits allow the two sides of a pair to be similar."""
+    """Whether sizes, and bits of larger sets, allow the two sides of a pair to be similar."""
     share = near.percent / 100
     # Per bin: all bits agree with the chance ``share``, else each does with 1/2.
+    # Shingles that meet in one bin hide each other, which varies the share itself.
     mean = MARK_BITS * (1 + share) / 2
-    variance = (1 - share) * MARK_BITS / 4 + share * (1 - share) * (MARK_BITS / 2) ** 2
-    most = BINS * (MARK_BITS - mean) + 5 * (BINS * variance) ** 0.5
+    variance = (1 - share) * MARK_BITS / 4 + 2 * share * (1 - share) * (MARK_BITS / 2) ** 2
+    most = BINS * (MARK_BITS - mean) + 6 * (BINS * variance) ** 0.5
     parts = [F.bit_count(F.col(f"bits{k}_a").bitwiseXOR(F.col(f"bits{k}_b"))) for k in range(MARK_WORDS)]
     n_a, n_b = F.col("n_shingles_a"), F.col("n_shingles_b")
-    return (100 * F.least(n_a, n_b) >= near.percent * F.greatest(n_a, n_b)) & (reduce(add, parts) <= most)
+    sized = 100 * F.least(n_a, n_b) >= near.percent * F.greatest(n_a, n_b)
+    return sized & ((F.least(n_a, n_b) <= UNMARKED) | (reduce(add, parts) <= most))
 
 
 def _side(rows: DataFrame, side: str) -> DataFrame:

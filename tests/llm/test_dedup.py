@@ -106,6 +106,16 @@ def test_near_classes_equal_brute_force(spark, size):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+@pytest.mark.parametrize("bands", [1, 32])
+def test_near_finds_every_pair_of_short_texts(spark, bands):
+    rows = []
+    for k in range(400):
+        text = prose(k, 8)
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text[:-1]))]
+    found = near_duplicates(docs_frame(spark, rows), Near(bands=bands)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_near_awkward_rows(spark):
     found = near_duplicates(docs_frame(spark, AWKWARD)).collect()
     assert len(found) == len(AWKWARD)
