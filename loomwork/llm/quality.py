@@ -18,14 +18,12 @@ WINDOW = 5
 class Rules:
     """Parameters of the verdict.
 
-    ``trusted_rows`` trusted documents at most fit the target; ``buckets`` hashed
-    n-grams; ``prior`` raw-corpus pseudo counts mixed into the
+    ``buckets`` hashed n-grams; ``prior`` raw-corpus pseudo counts mixed into the
     target counts, which pulls rare n-grams to a ratio of 1; ``neutral`` n-grams
     of ratio 1 added to every document, so that a few words alone reject none;
     ``threshold`` the least mean log ratio of a document that stays.
     """
 
-    trusted_rows: int = 20_000
     buckets: int = 1 << 14
     prior: float = 1 << 14
     neutral: int = 20
@@ -50,21 +48,23 @@ def grams(words: Column, buckets: int) -> Column:
 def gram_counts(docs: DataFrame, trusted: DataFrame, rules: Rules) -> DataFrame:
     """``bucket, raw, target``: n-gram counts of all documents and of trusted ones.
 
-    ``trusted`` has ``doc_id``; the target is fitted on ``rules.trusted_rows`` of
-    these at most, in order of a hash, so that their ids can be broadcast and no
-    text moves.  Counts are combined before the shuffle, which carries at most
-    one row per bucket and task.
+    ``trusted`` has ``doc_id``.  All documents are counted without a join, the
+    trusted ones once more behind a semi join, which moves ids and texts once.
+    Counts are combined before their shuffle, which carries at most one row per
+    bucket and task.
     """
     ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    marks = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.trusted_rows).withColumn("_trusted", F.lit(1))
-    marked = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id", "left")
-    # The outer form keeps Spark from computing the array once more to filter on it.
-    listed = marked.select(
-        F.explode_outer(grams(words_of(F.col("text")), rules.buckets)).alias("bucket"),
-        F.coalesce("_trusted", F.lit(0)).alias("_t"),
-    )
-    counted = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_t").alias("target"))
-    return counted.where("bucket IS NOT NULL")
+    # Without a sort of the texts, and the same way at any size.
+    marked = docs.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
+
+    def counted(rows: DataFrame, name: str, other: str) -> DataFrame:
+        # The outer form keeps Spark from computing the array once more to filter on it.
+        listed = rows.select(F.explode_outer(grams(words_of(F.col("text")), rules.buckets)).alias("bucket"))
+        sums = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias(name))
+        return sums.select("bucket", F.col(name), F.lit(0).cast("bigint").alias(other))
+
+    both = counted(docs, "raw", "target").unionByName(counted(marked, "target", "raw"))
+    return both.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
 def gram_weights(counts: DataFrame, rules: Rules) -> DataFrame:

@@ -220,6 +220,13 @@ def test_quality_equals_brute_force(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((r["doc_id"] for r in found if r["kept"]), key=str)
 
 
+def test_target_counts_every_trusted_document(spark):
+    docs = spark.range(20_500).selectExpr("id AS doc_id", "concat('w', id % 7, ' x') AS text")
+    trusted = docs.where("doc_id >= 100").select("doc_id")
+    counts = quality.gram_counts(docs, trusted.unionByName(trusted), quality.Rules()).collect()
+    assert (sum(r["raw"] for r in counts), sum(r["target"] for r in counts)) == (3 * 20_500, 3 * 20_400)
+
+
 def test_quality_without_trusted_rows(spark):
     nothing = spark.createDataFrame([], "doc_id bigint")
     rows = [(1, " ".join(prose(1, 30))), (2, "short"), (3, None)]
