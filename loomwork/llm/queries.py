@@ -216,3 +216,46 @@ def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
     from loomwork.llm.html import extract
 
     return extract(_table(spark, folder, "pages"))
+
+
+# The digest's first digits decide; code points are DuckDB's characters.
+SQL_INFILL = """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS c2,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+           OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+         WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed
+), cut AS (
+  SELECT *, substring(t, 1, least(c1, c2)) AS p, substring(t, least(c1, c2) + 1, greatest(c1, c2) - least(c1, c2)) AS m,
+         substring(t, greatest(c1, c2) + 1) AS s
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(c1, c2) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN greatest(c1, c2) - least(c1, c2) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut
+"""
+
+
+@_query(SQL_INFILL)
+def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
+    from loomwork.llm.infill import infill, restored
+
+    cut = infill(_table(spark, folder, "documents"))
+    again = restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(again, 256).alias("restored_sha256"),
+    )
