@@ -259,3 +259,12 @@ def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2(again, 256).alias("restored_sha256"),
     )
+
+
+@_query()
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    from loomwork.llm.turns import damaged, repair
+
+    conversations = _table(spark, folder, "conversations")
+    found = repair(damaged(conversations), original=conversations)
+    return found.withColumn("repaired_sha256", F.sha2("repaired", 256)).drop("repaired")
