@@ -261,7 +261,92 @@ def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@_query()
+def _sql_repair() -> str:
+    """Edits by states, row after row: the cheapest way to each state, then the ASCII-least one.
+
+    A way is a struct of cost, audit and text, which compares in this order.
+    """
+    none = "{'c': 1000000000::BIGINT, 't': '', 'o': ''}"
+
+    def way(state: str, cost: int | str, edit: str, line: str | None = None) -> str:
+        text = f"{state}.o" if line is None else f"{state}.o || {line} || chr(10)"
+        return f"{{'c': {state}.c + {cost}, 't': {state}.t || '{edit}', 'o': {text}}}"
+
+    def best(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def said(state: str, role: str) -> list[str]:
+        extra = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+        free = "fault NOT IN ('blank', 'duplicate')"
+        kept = way(state, extra, "K", "role || ':' || text")
+        told = way(state, f"1 + {extra}", "R", f"'{role}:' || text")
+        return [
+            f"CASE WHEN {free} AND role[1:1] = '{role[0]}' THEN {kept} ELSE {none} END",
+            f"CASE WHEN {free} THEN {told} ELSE {none} END",
+        ]
+
+    # A user turn may be inserted before the row, then an assistant turn.
+    more = best("u", way("e", 5, "I", "'user:'"), way("s", 5, "I", "'user:'"), way("a", 5, "I", "'user:'"))
+    first = "CASE WHEN fault NOT IN ('blank', 'duplicate') AND role[1:1] = 's' THEN " + way(
+        "e", "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END", "K", "role || ':' || text"
+    ) + f" ELSE {none} END"
+    return rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations
+), coded AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 1, 2, 3, 4, 5, 6, 7, 8],
+      lambda c, i: xor(c >> 1, (c & 1) * 3988292384))), 4294967295) % 20 AS code
+  FROM keyed
+), spoilt AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN code = 1 THEN '' WHEN code = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN code = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM coded WHERE code <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, h, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+    lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, h, copy) || role[1:1] AS pair,
+    trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM (SELECT *, sha256(length(role)::VARCHAR || ':' || role || text) AS h FROM spoilt)
+), faulty AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate'
+    WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+), ways AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 't': '', 'o': ''}} AS e, {none} AS s, {none} AS u, {none} AS a
+  FROM faulty WHERE i = 1
+  UNION ALL
+  SELECT conv_id, i, {way("e", 2, "D")}, {best(way("s", 2, "D"), first)},
+    {best(way("u1", 2, "D"), *said("e", "user"), *said("s", "user"), *said("a1", "user"))},
+    {best(way("a1", 2, "D"), *said("u1", "assistant"))}
+  FROM (SELECT *, {best("a", way("u1", 5, "I", "'assistant:'"))} AS a1
+    FROM (SELECT f.conv_id, f.i, f.role, f.text, f.fault, w.e, w.s, w.u, w.a, {more} AS u1
+      FROM ways w JOIN faulty f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = w.i + 1))
+), ended AS (
+  SELECT conv_id, {best("e", "a", way("u1", 5, "I", "'assistant:'"))} AS w
+  FROM (SELECT *, {more} AS u1 FROM ways)
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(w.c, 0)::BIGINT AS cost, coalesce(w.t, '') AS audit,
+  sha256(CASE WHEN coalesce(w.o, '') = '' THEN '' ELSE left(w.o, -1) END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended n ON o.conv_id IS NOT DISTINCT FROM n.conv_id
+"""
+
+
+@_query(_sql_repair())
 def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     from loomwork.llm.turns import damaged, repair
 
