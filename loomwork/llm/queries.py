@@ -353,3 +353,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     conversations = _table(spark, folder, "conversations")
     found = repair(damaged(conversations), original=conversations)
     return found.withColumn("repaired_sha256", F.sha2("repaired", 256)).drop("repaired")
+
+
+@_query()
+def op12_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    from loomwork.llm.neighbours import nearest
+
+    return nearest(_table(spark, folder, "embeddings"))
