@@ -31,7 +31,8 @@ class Forest:
     ``fit_rows`` and ``fit_bytes`` bound the sample on which trees are fitted,
     ``leaf_rows`` is the wanted size of a leaf, ``least_fit`` the fewest sample
     vectors a leaf is fitted on.  ``target`` is the share of true neighbours
-    that ``sample`` exactly answered queries must find.  A task compares blocks
+    that ``sample`` exactly answered queries must find.  ``pilot`` vectors of the
+    fit tell each query a product that its answers must reach.  A task compares blocks
     of at most ``block_rows`` vectors with ``block_queries`` queries.
     """
 
@@ -42,6 +43,7 @@ class Forest:
     least_fit: int = 8
     sample: int = 128
     target: float = 0.95
+    pilot: int = 1 << 13
     block_rows: int = 1 << 13
     block_queries: int = 1 << 12
     seed: int = 20240301
@@ -154,15 +156,27 @@ def products(points: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (points * query).sum(axis=1)
 
 
-def best_of(points: np.ndarray, names: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query, the ``k`` best names and their products, ties to the smaller name."""
+def _below(product: float) -> float:
+    """A little less, as far as rounding may go."""
+    return product - 1e-9 * max(1.0, abs(product)) if np.isfinite(product) else product
+
+
+def best_of(
+    points: np.ndarray, names: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray | None = None
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query, the ``k`` best names and their products, ties to the smaller name.
+
+    What lies below a query's floor is left out.
+    """
     found = []
+    floors = np.full(len(queries), -np.inf) if floors is None else floors
     for start in range(0, len(queries), 64):
         rough = queries[start : start + 64] @ points.T
         for i, row in enumerate(rough):
             # A matrix product may differ in the last bits; nothing near the edge is left out.
             edge = np.partition(row, -k)[-k] if len(row) > k else -np.inf
-            close = np.flatnonzero(row >= edge - 1e-9 * max(1.0, abs(edge))) if len(row) > k else np.arange(len(row))
+            edge = max(edge, floors[start + i])
+            close = np.flatnonzero(row >= _below(edge))
             exact = products(points[close], queries[start + i])
             order = np.lexsort((names[close], -exact))[:k]
             found.append((names[close][order], exact[order]))
@@ -225,7 +239,8 @@ def nearest(
     total = points.count()
     room = min(forest.fit_rows, forest.fit_bytes // (4 * (width + 1)))
     sample = points.where(_share(room, total, "g1", "g2")).select("vec").orderBy("vec").toArrow()
-    fitted = raised(_numbers(sample["vec"], width), longest)
+    sample = _numbers(sample["vec"], width)
+    fitted = raised(sample, longest)
     leaf = max(forest.least_fit, round(forest.leaf_rows * len(fitted) / total))
     trees = Trees(fitted, leaf, forest.trees, forest.seed)
     shared = spark.sparkContext.broadcast((trees, width, longest))
@@ -237,7 +252,10 @@ def nearest(
         leaf_sizes[row["leaf"]] = row["count"]
     asked = placed.where("asked").select("g1", "g2", "vec")
     enough = _enough(placed, asked, k, forest, trees, leaf_sizes, width, longest)
-    searched = stage(_visited(asked, shared, leaf_sizes, enough), "vector-visits")
+    # Every n-th of the sample, which is bounded.
+    step = max(1, -(-len(sample) // forest.pilot))
+    pilot = spark.sparkContext.broadcast((sample[::step], trees.assign(fitted[::step])))
+    searched = stage(_visited(asked, shared, leaf_sizes, enough, pilot, k + 1), "vector-visits")
     merged = _merged(_compared(placed, searched, k, forest, width), k)
 
     named = usable.where(F.col("id") % every == 0).select("g1", "g2", F.col("id").alias("query_id")).distinct()
@@ -333,25 +351,38 @@ def _enough(
     return float(np.quantile(needed, forest.target, method="higher")) if needed else float(leaf_sizes.sum())
 
 
-def _visited(asked: DataFrame, shared, leaf_sizes: np.ndarray, enough: float) -> DataFrame:
-    """Distinct queries with the leaves they reach."""
+def _visited(asked: DataFrame, shared, leaf_sizes: np.ndarray, enough: float, pilot, k: int) -> DataFrame:
+    """Distinct queries with the leaves they reach, and a product that their ``k`` best reach.
+
+    That is the ``k``-th best of the pilot vectors in these very leaves, so it
+    leaves out nothing that could be among the ``k`` best there.
+    """
 
     def run(batch: pa.RecordBatch):
         trees, width, longest = shared.value
-        queries = _asked(_numbers(batch.column("vec"), width), longest)
-        leaves = [trees.visit(q, leaf_sizes, enough) for q in queries]
+        vecs = _numbers(batch.column("vec"), width)
+        leaves = [trees.visit(q, leaf_sizes, enough) for q in _asked(vecs, longest)]
+        known, known_leaves = pilot.value
+        floors = np.full(len(vecs), -np.inf)
+        for i, (vec, reached) in enumerate(zip(vecs, leaves)):
+            inside = np.zeros(trees.leaves, bool)
+            inside[reached] = True
+            scores = (known @ vec)[inside[known_leaves].any(axis=1)]
+            if len(scores) >= k:
+                floors[i] = np.partition(scores, -k)[-k]
+        found = [pa.array(leaves, pa.list_(pa.int32())), pa.array(floors)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(leaves, pa.list_(pa.int32()))], names=[*batch.schema.names, "leaves"]
+            [*batch.columns, *found], names=[*batch.schema.names, "leaves", "least"]
         )
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in asked.schema)
-    return map_batches(asked, run, f"{kinds}, leaves array<int>")
+    return map_batches(asked, run, f"{kinds}, leaves array<int>, least double")
 
 
 def _compared(placed: DataFrame, searched: DataFrame, k: int, forest: Forest, width: int) -> DataFrame:
     """Per query and block of a leaf, the ``k + 1`` best ids by exact product."""
     points = placed.select("vec", "ids", "g1", F.explode("leaves").alias("leaf"))
-    queries = searched.select("g1", "g2", "vec", F.explode("leaves").alias("leaf"))
+    queries = searched.select("g1", "g2", "vec", "least", F.explode("leaves").alias("leaf"))
     # One row per leaf, as many as the fitted trees have.
     sizes = points.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / forest.block_rows).cast("int").alias("p"))
     calls = queries.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / forest.block_queries).cast("int").alias("q"))
@@ -376,15 +407,17 @@ def _compared(placed: DataFrame, searched: DataFrame, k: int, forest: Forest, wi
         rows, counts = _numbers(left["vec"], width), np.diff(_offsets(left["ids"]))
         names = left["ids"].combine_chunks().flatten().to_numpy()
         # Copies of a vector take part with each of their ids.
-        best = best_of(np.repeat(rows, counts, axis=0), names, _numbers(right["vec"], width), k + 1)
+        least = right["least"].to_numpy()
+        best = best_of(np.repeat(rows, counts, axis=0), names, _numbers(right["vec"], width), k + 1, least)
         found = pa.array(
             [[{"score": s, "id": i} for i, s in zip(ids.tolist(), scores.tolist())] for ids, scores in best], kind
         )
-        return pa.table({"g1": right["g1"], "g2": right["g2"], "found": found})
+        some = pa.array([len(ids) > 0 for ids, _ in best])
+        return pa.table({"g1": right["g1"], "g2": right["g2"], "found": found}).filter(some)
 
     kind = pa.list_(pa.struct([("score", pa.float64()), ("id", pa.int64())]))
     left = points.select(*key, "vec", "ids").groupBy(*key)
-    right = queries.select(*key, "g1", "g2", "vec").groupBy(*key)
+    right = queries.select(*key, "g1", "g2", "vec", "least").groupBy(*key)
     schema = "g1 bigint, g2 bigint, found array<struct<score: double, id: bigint>>"
     return left.cogroup(right).applyInArrow(run, schema)
 

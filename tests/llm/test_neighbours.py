@@ -130,3 +130,15 @@ def test_ties_go_to_the_smaller_id():
     points = np.array([[1.0, 0], [1.0, 0], [0, 1.0], [1.0, 0]])
     ((ids, scores),) = best_of(points, np.array([9, 4, 1, 7]), np.array([[2.0, 0]]), 2)
     assert ids.tolist() == [4, 7] and scores.tolist() == [2.0, 2.0]
+
+
+def test_floors_leave_out_no_answer(spark):
+    rows = _clustered(6, 1500)
+    table = frame(spark, rows)
+    one = _found(nearest(table, k=5, forest=Forest(leaf_rows=40)))
+    assert one == _found(nearest(table, k=5, forest=Forest(leaf_rows=40, pilot=1)))
+    points, names = np.array([v for _, v in rows], float), np.arange(1500)
+    floor = np.sort(points @ points[0])[-40]
+    plain, bound = (best_of(points, names, points[:1], 30, f)[0] for f in (None, np.array([floor])))
+    assert plain[0].tolist() == bound[0].tolist()
+    assert len(best_of(points, names, points[:1], 50, np.array([floor]))[0][0]) == 40
