@@ -35,36 +35,32 @@ class Rules:
 def grams(words: Column, buckets: int) -> Column:
     """Buckets of the single words and word pairs of a word array."""
 
-    def of(w: Column, size: int) -> Column:
-        hashed = F.transform(
-            F.sequence(F.lit(1), F.size(w) - (size - 1)),
-            lambda i: F.pmod(F.xxhash64(F.slice(w, i, size)), F.lit(buckets)).cast("int"),
-        )
-        return F.when(F.size(w) >= size, hashed).otherwise(F.array().cast("array<int>"))
+    def bucket(*w: Column) -> Column:
+        return F.pmod(F.xxhash64(*w), F.lit(buckets)).cast("int")
+
+    def of(w: Column) -> Column:
+        single = F.transform(w, lambda x: bucket(x))
+        # The hash of a pair goes on from the hash of its first word, without a copy of both.
+        pair = F.transform(F.slice(w, 2, F.size(w)), lambda x, i: bucket(F.get(w, i), x))
+        return F.concat(single, pair)
 
-    return let(words, lambda w: F.concat(of(w, 1), of(w, 2)))
+    return let(words, of)
 
 
 def gram_counts(docs: DataFrame, trusted: DataFrame, rules: Rules) -> DataFrame:
     """``bucket, raw, target``: n-gram counts of all documents and of trusted ones.
 
-    ``trusted`` has ``doc_id``.  All documents are counted without a join, the
-    trusted ones once more behind a semi join, which moves ids and texts once.
-    Counts are combined before their shuffle, which carries at most one row per
-    bucket and task.
+    ``trusted`` has ``doc_id``.  Documents are marked by a join that moves ids
+    and texts once, and counted in one pass.  Counts are combined before their
+    shuffle, which carries at most one row per bucket and task.
     """
-    ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("_good", F.lit(1))
     # Without a sort of the texts, and the same way at any size.
-    marked = docs.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
-
-    def counted(rows: DataFrame, name: str, other: str) -> DataFrame:
-        # The outer form keeps Spark from computing the array once more to filter on it.
-        listed = rows.select(F.explode_outer(grams(words_of(F.col("text")), rules.buckets)).alias("bucket"))
-        sums = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias(name))
-        return sums.select("bucket", F.col(name), F.lit(0).cast("bigint").alias(other))
-
-    both = counted(docs, "raw", "target").unionByName(counted(marked, "target", "raw"))
-    return both.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    marked = docs.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left")
+    # The outer form keeps Spark from computing the array once more to filter on it.
+    listed = marked.select("_good", F.explode_outer(grams(words_of(F.col("text")), rules.buckets)).alias("bucket"))
+    sums = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_good").alias("target"))
+    return sums.where("bucket IS NOT NULL")
 
 
 def gram_weights(counts: DataFrame, rules: Rules) -> DataFrame:
@@ -123,11 +119,9 @@ def quality_counts(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 def repeat_words(words: Column) -> Column:
     """Words in windows of ``WINDOW`` words that occur twice or more."""
 
-    def hashes(w: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice(w, i, WINDOW)),
-        )
+    def hashes(h: Column) -> Column:
+        first = F.slice(h, 1, F.size(h) - (WINDOW - 1))
+        return F.transform(first, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WINDOW)]))
 
     def places(placed: Column) -> Column:
         # Ordered by hash, equal windows are neighbours.
@@ -151,7 +145,8 @@ def repeat_words(words: Column) -> Column:
         found = let(let(placed, places), covered)
         return F.when(F.size(F.array_distinct(hashed)) < F.size(hashed), found).otherwise(0)
 
-    counted = let(words, lambda w: let(hashes(w), of))
+    # Every word is hashed once; windows are made of these numbers.
+    counted = let(let(F.transform(words, lambda x: F.xxhash64(x)), hashes), of)
     return F.when(F.size(words) > WINDOW, counted).otherwise(0)
 
 
