@@ -12,6 +12,7 @@ from loomwork.catalog import (  # noqa: F401  (importing fills the registry)
     scalars,
     sets,
     streams,
+    tables,
     text,
     windows,
 )

@@ -17,6 +17,7 @@ from loomwork.operators.profile import (
     sample_by_hash,
     sample_rows,
 )
+from loomwork.operators.quantiles import summary_table
 from loomwork.operators import quality
 
 # The tables hold no nulls, so these queries make some by rule.
@@ -223,20 +224,30 @@ def schema_validity(t):
 
 
 def _summary_row(name, measure):
-    return f"SELECT '{name}' AS summary, round({measure}(o_orderkey)::DOUBLE, 3) AS o_orderkey, round({measure}(o_totalprice)::DOUBLE, 3) AS o_totalprice FROM orders"
+    each = ", ".join(f"round(({measure.format(c)})::DOUBLE, 3) AS {c}" for c in ("o_orderkey", "o_totalprice"))
+    return f"SELECT '{name}' AS summary, {each} FROM orders"
 
 
 @query(
     " UNION ALL ".join(
         _summary_row(*p)
-        for p in (("count", "count"), ("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max"))
+        for p in (
+            ("count", "count({})"),
+            ("mean", "avg({})"),
+            ("stddev", "stddev_samp({})"),
+            ("min", "min({})"),
+            ("25%", "quantile_cont({}, 0.25)"),
+            ("50%", "quantile_cont({}, 0.5)"),
+            ("75%", "quantile_cont({}, 0.75)"),
+            ("max", "max({})"),
+        )
     )
 )
 def summary_stats(t):
-    """The exact measures of a summary; quantiles are sketches and have no one right answer."""
-    found = t.orders.select("o_orderkey", "o_totalprice").summary("count", "mean", "stddev", "min", "max")
+    """A whole summary, quartiles included, all measures exact."""
     names = ("o_orderkey", "o_totalprice")
-    return found.select("summary", *[F.round(F.col(n).cast("double"), 3).alias(n) for n in names])
+    found = summary_table(t.orders, names)
+    return found.select("summary", *[F.round(n, 3).alias(n) for n in names])
 
 
 @query("""
@@ -248,6 +259,19 @@ def describe_bounds(t):
     return t.part.select("p_size").describe().where("summary in ('count', 'min', 'max')")
 
 
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS summary, round({f}(p_size)::DOUBLE, 6) AS p_size, "
+        f"round({f}(p_retailprice)::DOUBLE, 6) AS p_retailprice FROM part"
+        for name, f in (("count", "count"), ("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max"))
+    )
+)
+def describe_all(t):
+    """Every row of a description, as numbers."""
+    found = t.part.select("p_size", "p_retailprice").describe()
+    return found.select("summary", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in found.columns[1:]])
+
+
 def _true_items(name):
     return f"""SELECT '{name}' AS column_name, {name} AS value, true AS found FROM orders GROUP BY {name}
     HAVING count(*) >= 0.15 * (SELECT count(*) FROM orders)"""
