@@ -107,6 +107,21 @@ def batch_audit(t):
     return audit.entries().select("stage", "status", F.col("error").isNotNull().alias("has_error"))
 
 
+@query("""
+    SELECT 'orders' AS stage, count(*) AS rows_in, count(*) FILTER (o_totalprice >= 1000) AS rows_out,
+           count(*) FILTER (o_totalprice < 1000) AS rows_rejected FROM orders
+""")
+def batch_audit_counts(t):
+    """Rows in, out and rejected of a stage, counted while it writes."""
+    out = scratch_path(t.spark, "audit-counts")
+    audit = Audit(t.spark, f"{out}/audit")
+    poor = F.col("o_totalprice") < 1000
+    with audit.stage("orders") as counts:
+        rows = counts.watch(t.orders, "rows_in", rejected=poor)
+        save(counts.watch(rows.where(~poor), "rows_out"), SinkSpec("parquet", f"{out}/orders"))
+    return audit.entries().select("stage", "rows_in", "rows_out", "rows_rejected")
+
+
 _JOINED = f"""
     SELECT o_orderkey AS txnid, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dt, c_custkey AS id, age AS custage,
            row_number() OVER (ORDER BY o_orderdate, o_orderkey, c_custkey, age) AS sno

@@ -12,6 +12,7 @@ from loomwork.session import scratch_path
 from loomwork.sources.files import SourceSpec, load
 from loomwork.sources.sinks import SinkSpec, save
 from loomwork.streaming.readers import read_files, read_lines
+from loomwork.streaming.progress import ProgressLog, run_until_idle
 from loomwork.streaming.sinks import latest, to_files, to_keyed
 from loomwork.streaming.transforms import decode_json, sql_over, with_load_date, with_total
 
@@ -126,3 +127,25 @@ def stream_latest_by_key(t):
     order = ["-ts", "-event_id"]
     to_keyed(stream, out, ["user_id"], order, checkpoint).awaitTermination()
     return latest(t.spark, out, ["user_id"], order)
+
+
+@query("""
+    SELECT event_type AS kind, count(*) AS n, (SELECT count(*) FROM events) AS input_rows FROM events GROUP BY 1
+""")
+def stream_timed(t):
+    """On a clock until idle; the recorded progress accounts for every row taken in."""
+    source = _arrivals(t, t.events.select("event_id", "event_type"), "json", "timed-in")
+    out, checkpoint, told = (scratch_path(t.spark, f"timed-{x}") for x in ("out", "ck", "log"))
+    stream = read_files(t.spark, "json", source, "event_id BIGINT, event_type STRING", max_files=_some(t))
+    name = "timed_" + out.rsplit("-", 1)[-1]
+    log = ProgressLog(t.spark, told, [name])
+    t.spark.streams.addListener(log)
+    try:
+        run_until_idle(to_files(stream, "parquet", out, checkpoint, every="100 milliseconds", name=name), log, 3.0)
+    finally:
+        t.spark.streams.removeListener(log)
+    taken = log.entries().agg(F.sum("input_rows").alias("input_rows"))
+    rows = load(t.spark, SourceSpec("parquet", out, "event_id BIGINT, event_type STRING"))
+    return rows.groupBy(F.col("event_type").alias("kind")).agg(F.count("*").alias("n")).withColumn(
+        "input_rows", taken.scalar()
+    )

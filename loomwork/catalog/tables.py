@@ -3,11 +3,14 @@
 from pyspark.sql import functions as F
 
 from loomwork.catalog.registry import query
+from loomwork.operators.bloom import matched_reduced
 from loomwork.operators.distinct import distinct_from_states, distinct_states, relative_error
 from loomwork.operators.frequent import frequent_from_states, frequent_state
 from loomwork.operators.quality import quality_report
 from loomwork.operators.quantiles import exact_quantiles
 from loomwork.session import scratch_path
+from loomwork.tables.compact import compact_files
+from loomwork.tables.files import Store
 from loomwork.tables.keyed import KeyedTable
 from loomwork.tables.merge import merge_partitions
 
@@ -106,3 +109,31 @@ def frequent_over_deliveries(t):
     for k in range(4):
         frequent_state(years.where(F.col("part") == k), "value", str(k), 0.1).write.mode("append").parquet(path)
     return frequent_from_states(t.spark.read.parquet(path), 0.1, lambda d: years.where(F.col("part") == int(d)))
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice, o_orderpriority, true AS few_files FROM orders
+""")
+def files_compacted(t):
+    """Many small files per partition, rewritten to a stated size: the same rows in files within the range."""
+    path = scratch_path(t.spark, "compacted")
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority")
+    spread = rows.repartition(2 * t.spark.sparkContext.defaultParallelism, "o_orderkey")
+    spread.write.partitionBy("o_orderpriority").parquet(path)
+    before = Store(t.spark, path).files()
+    target = max(sum(f.size for f in before) // 4, 1)
+    compact_files(t.spark, path, target)
+    after = Store(t.spark, path).files()
+    few = len(after) < len(before) and max(f.size for f in after) <= max(target, *(f.size for f in before))
+    return t.spark.read.parquet(path).select(*rows.columns, F.lit(few).alias("few_files"))
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+    WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 400000)
+""")
+def join_semi_reduced(t):
+    """Lines of a few orders: a filter of bounded size drops most lines before their shuffle."""
+    few = t.orders.where("o_totalprice > 400000").select("o_orderkey")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return matched_reduced(lines, few, [("l_orderkey", "o_orderkey")])

@@ -210,7 +210,7 @@ def numbered(denormalised: DataFrame) -> DataFrame:
 def publish(
     frames: Mapping[str, DataFrame], sinks: Mapping[str, SinkSpec], audit: Audit | None = None
 ) -> None:
-    """Write the frames that have a sink, each with an audit entry when asked for."""
+    """Write the frames that have a sink, each with an audit entry and its row count when asked for."""
     unknown = sinks.keys() - frames.keys()
     if unknown:
         raise KeyError(f"no such frames: {sorted(unknown)}")
@@ -218,5 +218,5 @@ def publish(
         if audit is None:
             save(frames[name], sink)
         else:
-            with audit.stage(name):
-                save(frames[name], sink)
+            with audit.stage(name) as counts:
+                save(counts.watch(frames[name], "rows_out"), sink)

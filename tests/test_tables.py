@@ -3,7 +3,8 @@
 
 import pytest
 
-from loomwork.tables.files import Store
+from loomwork.tables.compact import compact_files, plan
+from loomwork.tables.files import File, Store
 from loomwork.tables.keyed import ConflictError, KeyedTable, to_keyed_table
 from loomwork.tables.merge import merge_partitions
 
@@ -140,3 +141,48 @@ def test_merge_of_nothing_and_over_two_partition_columns(spark, tmp_path):
     assert len(merge_partitions(spark, path, change, ["id"], ["a", "b"])) == 3
     found = {r.id: (r.value, r.a, r.b) for r in spark.read.parquet(path).collect()}
     assert found == {i: (v, a, b) for i, v, a, b in rows} | {0: ("w", 1, None), 1: ("w", 1, "é 1/=")}
+
+
+def test_plan_packs_small_files_only():
+    files = [File(f"f{i}", s) for i, s in enumerate([100, 80, 74, 60, 30, 30, 10, 5, 1])]
+    groups = plan(files, 100)
+    assert all(sum(f.size for f in g) <= 100 and len(g) > 1 for g in groups)
+    named = {f.path for g in groups for f in g}
+    assert named == {"f2", "f3", "f4", "f6", "f7", "f8"} and len(groups) == 2
+    assert plan([File("a", 70), File("b", 60)], 100) == [] and plan([], 100) == []
+
+
+def test_compaction_rewrites_small_files_of_each_folder(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(4000).selectExpr("id", "CAST(id % 2 AS STRING) AS part", "uuid() AS noise")
+    rows.repartition(6).write.partitionBy("part").parquet(path)
+    big = rows.where("part = '0'").selectExpr("id + 10000 AS id", "part", "repeat(uuid(), 3) AS noise").coalesce(1)
+    big.write.mode("append").partitionBy("part").parquet(path)
+    store = Store(spark, path)
+    before, expected = store.files(), sorted(map(tuple, spark.read.parquet(path).collect()))
+    target = max(f.size for f in before)
+    replaced = compact_files(spark, path, target)
+    after = store.files()
+    assert replaced == 12 and len(after) < len(before)
+    # The file that was large enough keeps its name.
+    assert {f.path for f in before if f.size == target} <= {f.path for f in after}
+    assert max(f.size for f in after) <= 1.2 * target
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == expected
+    assert compact_files(spark, path, target) == 0 or len(store.files()) < len(after)
+
+
+def test_compaction_that_died_is_finished(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.range(500).repartition(5).write.parquet(path)
+
+    def die(self, source, target):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Store, "move", die)
+        with pytest.raises(RuntimeError):
+            compact_files(spark, path, 1 << 20)
+    # The next run carries out what the note says.
+    assert compact_files(spark, path, 1 << 20) == 0
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(500))
+    assert len(Store(spark, path).files()) == 1
