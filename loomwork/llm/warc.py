@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm.ship import importable, slices
+from loomwork.operators.bloom import bloom_of
 from loomwork.session import scratch_path, stage
 
 # Fixed values of the format.
@@ -70,8 +71,9 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
     Of pages with equal payloads of at least ``least_bytes`` bytes the largest
     ``page_id`` is the response and others refer to it.  Digests combine before
-    the shuffle and only repeated ones take part in the join, which Spark splits
-    where one payload fills a large share.  A null id never is the one referred
+    the shuffle.  A Bloom filter of the repeated ones, of bounded size, tells
+    most other rows apart, and these are not moved at all; the rest take part in
+    the join, which Spark splits where one payload fills a large share.  A null id never is the one referred
     to while another id exists; rows that repeat the id referred to are
     responses too, and so are all rows of a payload whose ids are all null.
     """
@@ -86,9 +88,18 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         .where("_n > 1 AND _first IS NOT NULL")
         .select(F.col("sha1").alias("_sha1"), "_first")
     )
-    joined = rows.join(repeated, rows["sha1"] == repeated["_sha1"], "left")
+    repeated = stage(repeated, "repeated-digests")
+    filter_of = bloom_of(repeated, ["_sha1"], expected=max(1, repeated.count()))
+    moved = rows
+    if filter_of is not None:
+        moved = rows.where(filter_of.may_hold(F.col("sha1")))
+    joined = moved.join(repeated, moved["sha1"] == repeated["_sha1"], "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("_first")), F.col("_first"))
-    return joined.select("page_id", "url", "payload", "sha1", refers.alias("refers_to"))
+    found = joined.select("page_id", "url", "payload", "sha1", refers.alias("refers_to"))
+    if filter_of is None:
+        return found
+    single = rows.where(~filter_of.may_hold(F.col("sha1")))
+    return found.unionByName(single.withColumn("refers_to", F.lit(None).cast(rows.schema["page_id"].dataType)))
 
 
 class ArchiveWriter:
@@ -298,12 +309,11 @@ def read_chunks(stream, archive: str, chunk_bytes: int = CHUNK_BYTES) -> Iterato
             pass
 
 
-def chunk_table(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES, payloads: bool = True) -> DataFrame:
+def chunk_table(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Read archives back as chunks of records, ordered by ``chunk_no`` within a record.
 
     ``archives`` has ``archive``, a path that all executors reach.  Tasks read
-    whole archives, whose size the writer bounds.  Without ``payloads`` only the
-    last chunk of each record is returned, without its data.
+    whole archives, whose size the writer bounds.
     """
     importable(archives.sparkSession)
 
@@ -317,10 +327,6 @@ def chunk_table(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES, payloads: b
                 files, name = _opened(path)
                 with files.open_input_stream(name, compression=None) as stream:
                     for row in read_chunks(stream, path, chunk_bytes):
-                        if not payloads:
-                            if not row["last"]:
-                                continue
-                            row["data"] = None
                         rows.append(row)
                         held += len(row["data"] or b"") + 200
                         if held >= 4 << 20:
@@ -336,13 +342,14 @@ def chunk_table(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES, payloads: b
     return spread.mapInArrow(run, CHUNK_SCHEMA)
 
 
-def record_table(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``page_id, payload_bytes, payload_digest, record_type, refers_to, intact`` per record.
+def record_table(chunks: DataFrame) -> DataFrame:
+    """``page_id, payload_bytes, payload_digest, record_type, refers_to, intact`` per record of a chunk table.
 
-    A revisit states length and digest of the payload it stands for; a response
+    The last chunk of a record has the digest and length of its whole payload,
+    so a stored chunk table is read without its data.  A revisit states length and digest of the payload it stands for; a response
     is measured, and is ``intact`` if that agrees with its headers.
     """
-    last = chunk_table(archives, chunk_bytes, payloads=False).where("last")
+    last = chunks.where("last")
     revisit = F.col("record_type") == "revisit"
     number = lambda c: F.regexp_extract(c, f"^{_SCHEME}(-?[0-9]+)$", 1).try_cast("bigint")
     return last.select(

@@ -162,7 +162,7 @@ def expected_records(rows, least):
 @pytest.mark.parametrize("least, archive_bytes", [(0, 1 << 26), (5, 1)])
 def test_archives_read_back(spark, least, archive_bytes):
     archives = warc.write_archives(frame(spark, ODD), least_bytes=least, archive_bytes=archive_bytes)
-    found = [tuple(r) for r in warc.record_table(archives, chunk_bytes=1000).collect()]
+    found = [tuple(r) for r in warc.record_table(warc.chunk_table(archives, chunk_bytes=1000)).collect()]
     assert sorted(found, key=str) == expected_records(ODD, least)
 
 
