@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwork.llm.ship import bucket_of, map_batches
+from loomwork.llm.ship import bucket_of, map_batches, piece
 
 # Runs of letters.
 _LETTERS = re.compile(r"[^\W\d_]+").findall
@@ -25,7 +25,7 @@ _ROOM = 48
 @dataclass(frozen=True)
 class Fit:
     """Parameters of learning: per language at most ``sample_docs`` documents, in
-    order of a hash of id and text, none of more than ``doc_chars`` characters,
+    order of a hash of id and text, of longer ones a piece of ``doc_chars`` characters,
     and of their words at most ``sample_chars`` characters."""
 
     sample_docs: int = 100
@@ -116,17 +116,19 @@ class Parser:
         return [total >> (_ROOM * k) & mask for k in range(len(self.automata))], sum(map(len, words))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The language of fewest phrases per letter, and its share of the evidence.
+        """The language of fewest normalised phrases per letter, and its share of the evidence.
 
-        Parsing with a text of n letters spends log2(n) bits a phrase; shares
-        are in proportion to 2 to the minus bits.
+        Parsing with a text of n letters spends log2(n) bits a phrase, so phrases
+        count by these: a language learned from little text has short matches,
+        but names each in fewer bits.  Shares are in proportion to 2 to the
+        minus bits.
         """
         counted = self.phrases(text) if text and self.langs else None
         if counted is None:
             return UNDETERMINED, 0.0
-        rates = np.array(counted[0]) / counted[1]
-        best = int(rates.argmin())
-        behind = np.minimum((rates - rates[best]) * counted[1] * self.bits, 1000.0)
+        spent = np.array(counted[0]) * self.bits
+        best = int(spent.argmin())
+        behind = np.minimum(spent - spent[best], 1000.0)
         return self.langs[best], float(1 / np.exp2(-behind).sum())
 
 
@@ -138,10 +140,10 @@ def learned_samples(docs: DataFrame, fit: Fit = Fit()) -> tuple[tuple[str, str],
     The number of languages is taken to be that of a catalogue of languages.
     """
     order = Window.partitionBy("lang").orderBy("_order", "doc_id")
-    usable = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(
-        F.char_length("text") <= fit.doc_chars
+    usable = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(
+        "doc_id", "lang", piece(F.col("text"), fit.doc_chars).alias("text")
     )
-    ranked = usable.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("_order"))
+    ranked = usable.withColumn("_order", F.xxhash64("doc_id", "text"))
     top = ranked.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= fit.sample_docs)
     found: dict[str, list[tuple[int, str]]] = {}
     for row in top.select("lang", "_n", "text").toLocalIterator():

@@ -124,8 +124,8 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     weights, bias = train(docs, _table(spark, folder, "labels"))
     held_out = bucket_of(F.col("doc_id"), 4) == 2
-    return toxicity(docs, weights, bias, locate=False).select(
-        "doc_id", held_out.alias("held_out"), "score", "predicted"
+    return toxicity(docs, weights, bias).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", "sentences"
     )
 
 
@@ -205,10 +205,11 @@ FROM coded
 
 @_query(SQL_WARC)
 def op9_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    from loomwork.llm.warc import record_table, write_archives
+    from loomwork.llm.warc import chunk_table, record_table, write_archives
+    from loomwork.session import stage
 
     archives = write_archives(_table(spark, folder, "pages"))
-    return record_table(archives).drop("intact")
+    return record_table(stage(chunk_table(archives), "warc-chunks")).drop("intact")
 
 
 @_query()

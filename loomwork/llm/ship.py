@@ -91,6 +91,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def piece(text: Column, most: int) -> Column:
+    """A text, or of a longer one ``most`` characters from a place its hash decides."""
+    long = F.char_length(text)
+    start = F.pmod(F.xxhash64(text), F.greatest(long - most + 1, F.lit(1)).cast("bigint")) + 1
+    return F.when(long <= most, text).otherwise(F.substr(text, start.cast("int"), F.lit(most)))
+
+
 def bucket_of(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))

@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.llm.hashing import LETTER, ODD, Texts, mix, words
-from loomwork.llm.ship import bucket_of, map_batches
+from loomwork.llm.ship import bucket_of, map_batches, piece
 
 # Sentences end at these characters.
 _ENDS = np.isin(np.arange(256), [ord(c) for c in ".!?\n"])
@@ -21,8 +21,9 @@ class Fit:
     """Parameters of learning.
 
     At most ``sample_rows`` labelled documents are learned from, taken in order
-    of a hash of their id, none of more than ``sample_chars`` characters; they
-    bound what the driver holds.  Words are marked by a hash of the whole word
+    of a hash of their id, until they have ``total_chars`` characters; of a
+    document of more than ``sample_chars`` a piece that long is taken.  This
+    bounds what the driver holds.  Words are marked by a hash of the whole word
     and of its first bytes; ``bits`` is the logarithm of the number of weights.
     Only features whose presence in a document tells its label apart by a
     log-likelihood ratio of ``evidence`` (twice that of the constant rate) get
@@ -30,7 +31,8 @@ class Fit:
     """
 
     sample_rows: int = 8000
-    sample_chars: int = 8000
+    sample_chars: int = 64_000
+    total_chars: int = 24_000_000
     bits: int = 20
     prefixes: tuple[int, ...] = (4, 5, 6)
     evidence: float = 20.0
@@ -161,8 +163,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Dat
     )
     # Ids are drawn before texts are fetched.
     drawn = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.sample_rows)
-    texts = docs.select("doc_id", "text").where(F.char_length("text") <= fit.sample_chars)
-    return texts.join(F.broadcast(drawn), "doc_id").orderBy(F.xxhash64("doc_id", "text")).limit(fit.sample_rows)
+    texts = docs.where("text IS NOT NULL").select("doc_id", piece(F.col("text"), fit.sample_chars).alias("text"))
+    few = texts.join(F.broadcast(drawn), "doc_id").withColumn("_order", F.xxhash64("doc_id", "text"))
+    few = few.orderBy("_order", "doc_id", "text").limit(fit.sample_rows)
+    # Over no more than the rows of the sample.
+    so_far = F.sum(F.char_length("text")).over(Window.orderBy("_order", "doc_id", "text"))
+    return few.withColumn("_chars", so_far).where(F.col("_chars") <= fit.total_chars).drop("_order", "_chars")
 
 
 def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> tuple[np.ndarray, float]:
