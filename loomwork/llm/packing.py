@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm.ship import importable, words_of
+from loomwork.operators.windows import number_all
 from loomwork.session import stage
 
 # Pieces that one task packs together.
@@ -136,10 +137,11 @@ def packed(
     """Place every item in a sequence.
 
     An item longer than the largest capacity is cut into pieces of that
-    capacity and a rest, so no token is dropped.  Pieces are dealt to shards of
-    about ``shard_rows`` by their place in a written table, never by a key, so a
-    repeated id or size cannot fill one shard; each shard is packed on its own
-    and leaves at most a few sequences part-filled, which shrink.  Rows of size
+    capacity and a rest, so no token is dropped.  Pieces are numbered by length,
+    id and piece, and dealt to shards of about ``shard_rows`` in turn, so every
+    shard has the same mixture of lengths, a repeated id or size cannot fill one,
+    and another run packs alike.  Each shard is packed on its own and leaves at
+    most a few sequences part-filled, which shrink.  Rows of size
     0, negative or null appear once with length 0 and no sequence.  Null ids and
     repeated rows are kept; an empty table gives no rows.
 
@@ -159,12 +161,13 @@ def packed(
     )
     total = pieces.where("length > 0").count()
     shards = max(1, -(-total // shard_rows))
-    place = F.xxhash64(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
-    dealt = pieces.withColumn("shard", F.pmod(place, F.lit(shards)).cast("int"))
+    numbered = number_all(pieces.where("length > 0"), ["-length", id_col, "piece"], "_place")
+    dealt = numbered.withColumn("shard", F.pmod("_place", F.lit(shards)).cast("int"))
     kind = items.schema[id_col].dataType.simpleString()
     importable(items.sparkSession)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_place")
         bins, offsets, capacities = pack(rows["length"].tolist(), lengths)
         chosen = np.asarray(bins, np.int64)
         fill = np.bincount(chosen, rows["length"], minlength=len(capacities)).astype(np.int64)
@@ -185,7 +188,7 @@ def packed(
         f"{id_col} {kind}, piece bigint, start bigint, length bigint, bin_id bigint, "
         "bin_capacity bigint, bin_fill bigint, offset bigint"
     )
-    placed = dealt.where("length > 0").groupBy("shard").applyInPandas(run, schema)
+    placed = dealt.groupBy("shard").applyInPandas(run, schema)
     nothing = F.lit(None).cast("bigint")
     empty = pieces.where("length = 0").select(
         id_col, "piece", "start", "length", *[nothing.alias(c) for c in ("bin_id", "bin_capacity", "bin_fill", "offset")]

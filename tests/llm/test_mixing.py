@@ -149,3 +149,54 @@ def test_packed_rows(spark):
         assert at == fill and capacity == (64 if fill <= 64 else 256)
     assert packed(frame.limit(0), "doc_id", "size").collect() == []
     assert len({r["doc_id"] for r in packed_documents(docs_frame(spark, AWKWARD)).collect()}) == len({r[0] for r in AWKWARD})
+
+
+def test_packing_is_the_same_in_every_run(spark):
+    draw = random.Random(12)
+    rows = [(draw.choice([None, *range(200)]), draw.choice([0, 3, 7, 40, 300, 9000])) for _ in range(900)]
+    frame = spark.createDataFrame(rows, "k bigint, size bigint")
+    one, two = (packed(frame.repartition(n), "k", "size", shard_rows=100).collect() for n in (2, 7))
+    assert sorted(map(tuple, one), key=str) == sorted(map(tuple, two), key=str)
+
+
+def _plain_pack(sizes, lengths):
+    """Variable-capacity best fit by looking at every bin and every capacity."""
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+    bins = []
+    for n, i in enumerate(order):
+        size = sizes[i]
+        fitting = [b for b in bins if b["room"] >= size]
+        if not fitting:
+            best = None
+            for capacity in sorted(lengths.capacities, reverse=True):
+                if capacity < size:
+                    continue
+                room = capacity - size
+                for k in order[n + 1 :]:
+                    room -= sizes[k] if sizes[k] <= room else 0
+                rate = lengths.cost(capacity) / (capacity - room)
+                if best is None or rate < best[0]:
+                    best = (rate, capacity)
+            bins.append({"room": best[1], "items": []})
+            fitting = [bins[-1]]
+        chosen = min(fitting, key=lambda b: b["room"])
+        chosen["room"] -= size
+        chosen["items"].append(size)
+    final = [min(c for c in lengths.capacities if c >= sum(b["items"])) for b in bins]
+    return sorted((c, sorted(b["items"])) for c, b in zip(final, bins))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_packing_equals_plain_best_fit(seed):
+    draw = random.Random(seed)
+    lengths = Lengths(capacities=(8, 16, 40), per_bin=draw.choice([0.0, 2.0, 30.0]), attention=draw.choice([0.0, 0.05]))
+    # Distinct amounts of room, so that no two bins tie.
+    sizes = [draw.randint(1, 40) for _ in range(draw.randint(1, 40))]
+    bins, _, capacities = pack(sizes, lengths)
+    shown = [[] for _ in capacities]
+    for size, b in zip(sizes, bins):
+        shown[b].append(size)
+    found = sorted((c, sorted(items)) for c, items in zip(capacities, shown))
+    plain = _plain_pack(sizes, lengths)
+    cost = lambda rows: sum(lengths.cost(c) for c, _ in rows)
+    assert cost(found) == pytest.approx(cost(plain)) and [c for c, _ in found] == [c for c, _ in plain]
