@@ -8,7 +8,9 @@ from loomwork.operators.distinct import distinct_from_states, distinct_states, r
 from loomwork.operators.frequent import frequent_from_states, frequent_state
 from loomwork.operators.quality import quality_report
 from loomwork.operators.quantiles import exact_quantiles
-from loomwork.session import scratch_path
+from loomwork.session import scratch_path, table_of
+from loomwork.sources.sinks import SinkSpec, discover_partitions, save
+from loomwork.tables.census import file_schemas, load_drifted, type_census
 from loomwork.tables.compact import compact_files
 from loomwork.tables.files import Store
 from loomwork.tables.keyed import KeyedTable
@@ -137,3 +139,49 @@ def join_semi_reduced(t):
     few = t.orders.where("o_totalprice > 400000").select("o_orderkey")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
     return matched_reduced(lines, few, [("l_orderkey", "o_orderkey")])
+
+
+def _drops(t):
+    """Three deliveries of orders: one more column, one column less, and types that differ."""
+    path = scratch_path(t.spark, "drops")
+    first = t.orders.selectExpr("CAST(o_orderkey AS INT) AS id", "o_orderstatus AS status", "1 AS drop_no")
+    second = t.orders.selectExpr("o_orderkey AS id", "o_orderstatus AS status", "o_totalprice AS price", "2 AS drop_no")
+    third = t.orders.selectExpr("o_orderkey AS id", "CAST(o_totalprice AS INT) AS status", "o_totalprice AS price", "3L AS drop_no")
+    for k, rows in enumerate((first, second, third)):
+        rows.coalesce(1).write.parquet(f"{path}/drop={k}")
+    return path
+
+
+@query("""
+    SELECT o_orderkey AS id, o_orderstatus AS status, NULL::DOUBLE AS price, 1::BIGINT AS drop_no FROM orders
+    UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, 2 FROM orders
+    UNION ALL SELECT o_orderkey, CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR), o_totalprice, 3 FROM orders
+""")
+def types_drifted(t):
+    """Read under one widened schema: whole numbers widen, a clash becomes text, lacking columns are null."""
+    return load_drifted(t.spark, _drops(t))
+
+
+@query("""
+    SELECT column_name, type, files::BIGINT AS files, files * (SELECT count(*) FROM orders) AS rows
+    FROM (VALUES ('id', 'integer', 1), ('id', 'long', 2), ('status', 'string', 2), ('status', 'integer', 1),
+                 ('price', 'double', 2), ('drop_no', 'integer', 2), ('drop_no', 'long', 1)) v(column_name, type, files)
+""")
+def types_counted(t):
+    """Which types each column has in how many files and rows, from the footers alone."""
+    census = type_census(file_schemas(t.spark, _drops(t)))
+    return census.select("column_name", "type", "files", F.col("rows").cast("decimal(38,0)").cast("bigint").alias("rows"))
+
+
+@query("""
+    SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1
+""")
+def partitions_discovered(t):
+    """A partition that another writer put beside a table's own is read through the table."""
+    path = scratch_path(t.spark, "found")
+    table = table_of(path)
+    rows = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    save(rows.where("status <> 'F'"), SinkSpec("parquet", path, table, partition_by=["status"]))
+    rows.where("status = 'F'").drop("status").write.parquet(f"{path}/status=F")
+    discover_partitions(t.spark, table)
+    return t.spark.table(table).groupBy("status").agg(F.count("*").alias("n"))

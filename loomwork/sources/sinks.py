@@ -109,3 +109,15 @@ def rebuild_external(
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.catalog.createTable(table, path=path, source=fmt, schema=schema)
     return spark.table(table)
+
+
+def discover_partitions(spark: SparkSession, table: str, statistics: bool = True) -> None:
+    """Take in partition folders that others have added or removed below a table's folder.
+
+    With ``statistics`` the sizes, row counts and column statistics are computed
+    anew, so that Spark decides broadcasts and join orders by what is there.
+    """
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    if statistics:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+    spark.catalog.refreshTable(table)
