@@ -27,7 +27,9 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 _NAME_PARTS = re.compile(r"[a-z]+|[0-9]+").findall
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe textarea title svg math select object".split())
+_RAW = frozenset("script style noscript template iframe textarea title svg annotation select object".split())
+# Of these a browser reads on to the end of the page if the end tag is missing.
+_ENDLESS = frozenset("script style textarea title iframe noscript".split())
 _BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol "
@@ -60,6 +62,9 @@ _NOISE_NAMES = frozenset(
 # A page header is noise, the header of an article holds its title.
 _HEADER_NAMES = frozenset("header topbar".split())
 _MAIN_NAMES = frozenset("article content main post entry story".split())
+# Elements of running text: inside an article only a whole class or id hints there.
+_TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # A hint does not count for a part that holds this many times the text outside
 # of hinted parts; text in an article or main element outside counts tenfold.
 _MOST, _MARKED = 2, 10
@@ -68,11 +73,17 @@ _MOST, _MARKED = 2, 10
 @dataclass(frozen=True)
 class Style:
     """Parameters of pruning: pages that must show a path before it is judged,
-    and the importance under which a branch is noise.  Nothing can be told from
-    one page."""
+    the importance under which both content and presentation of a noisy branch
+    lie, how far a branch may fall behind the site's main branch in their mean,
+    the words up to which a block is described by each of them, and whether
+    names of elements, roles, classes and ids count as hints.  Nothing can be
+    told from one page."""
 
     least_pages: int = 2
     threshold: float = 0.4
+    behind: float = 0.2
+    short_words: int = 12
+    names: bool = True
 
 
 @dataclass
@@ -101,11 +112,13 @@ class _Node:
     children: list[str]
 
 
-def parse(html: str) -> tuple[list[Block], list[tuple[str, str]]]:
+def parse(html: str, by_name: bool = True) -> tuple[list[Block], list[tuple[str, str]]]:
     """Blocks of a page in order, and the child styles of each element.
 
     Any input gives a result: unclosed elements end with their surroundings,
-    stray end tags are ignored, an unfinished tag at the end is dropped.
+    stray end tags are ignored, an unfinished tag at the end is dropped.  A
+    drawing or a selection without an end tag loses its tag alone.  Without
+    ``by_name`` no name hints at noise or at the article.
     """
     root = _Node("", "", 0, 0, False, [])
     stack, blocks, styles, pieces = [root], [], [], []
@@ -174,16 +187,18 @@ def parse(html: str) -> tuple[list[Block], list[tuple[str, str]]]:
         elif tag == "br":
             pieces.append(" ")
         if tag in _RAW:
+            if (found[3] or found[6] or "").endswith("/") and tag not in _ENDLESS:
+                continue
             over = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, at)
-            at = over.start() if over else end
-            if over is None:
+            if over is None and tag in _ENDLESS:
                 break
+            at = over.start() if over else at
             # The end tag itself is skipped as a stray one.
             continue
         if tag in _VOID:
             continue
         above = stack[-1]
-        hinted, level = _judged(tag, attributes, above)
+        hinted, level = _judged(tag, attributes, above) if by_name else (False, 0)
         hint = above.hint
         if hinted:
             around.append(hint)
@@ -247,7 +262,10 @@ def _judged(tag: str, attributes: dict[str, str], above: _Node) -> tuple[bool, i
     names = {*_names(attributes.get("class")), *_names(attributes.get("id"))}
     role = attributes.get("role", "").lower()
     noise = tag in _NOISE_TAGS or role in _NOISE_ROLES or "hidden" in attributes
-    noise = noise or (tag not in ("html", "body") and bool(names & _NOISE_NAMES))
+    hints = names
+    if level > 1 and tag in _TEXT_TAGS:
+        hints = {*attributes.get("class", "").lower().split(), attributes.get("id", "").lower()}
+    noise = noise or (tag not in ("html", "body") and bool(hints & _NOISE_NAMES))
     noise = noise or (not level and (tag == "header" or bool(names & _HEADER_NAMES)))
     if tag == "article" or role == "article" or "articlebody" in attributes.get("itemprop", "").lower():
         level = 3
@@ -258,17 +276,23 @@ def _judged(tag: str, attributes: dict[str, str], above: _Node) -> tuple[bool, i
     return noise, level
 
 
-def main_text(blocks: list[Block], noisy: set[int]) -> str:
+def main_text(blocks: list[Block], noisy: set[int], behind: set[int] = frozenset()) -> str:
     """Blocks of the article, one a line.
 
     The branches that the site's style tree calls noise go from every page.  If
-    nothing would be left they stay: a site of copies has no other text.  Of
+    nothing would be left they stay: a site of copies has no other text.
+    Branches far behind the main one go too, but for headings and what a page
+    marks as its article, and unless they hold most of the page's text.  Of
     what is left, the part that a page marks as its article counts if it holds
     half of the text or more: the narrowest such part, with all inside it.
     """
     usable = [b for b in blocks if not b.noise]
     left = [b for b in usable if _mark(b.path) not in noisy] if noisy else usable
     left = left or usable
+    if behind:
+        kept = [b for b in left if b.level or _is_heading(b) or _mark(b.path) not in behind]
+        if sum(b.weight for b in left) <= (_MOST + 1) * sum(b.weight for b in kept):
+            left = kept or left
     whole = sum(b.weight for b in left)
     for level in sorted({b.level for b in left}, reverse=True):
         part = [b for b in left if b.level >= level]
@@ -277,6 +301,10 @@ def main_text(blocks: list[Block], noisy: set[int]) -> str:
     return ""
 
 
+def _is_heading(block: Block) -> bool:
+    return block.path.rpartition("/")[2].partition(".")[0] in _HEADINGS
+
+
 def _mark(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
@@ -287,26 +315,42 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def style_nodes(pages: DataFrame) -> DataFrame:
+def features(text: str, short_words: int) -> list[str]:
+    """What describes a block in the tree: the words of a short one, else its text.
+
+    Menus, adverts and notices are short and vary in some words; of running text
+    single words tell nothing, as most pages share them.
+    """
+    words = text.split()
+    return words if len(words) <= short_words else [text]
+
+
+def style_nodes(pages: DataFrame, style: Style = Style()) -> DataFrame:
     """The style tree of every host: ``host, path, parent, kind, item, pages, total, spread``.
 
-    One row per content (``kind`` 1, the text of a block), child style (2) or
-    the node itself (0) at a style path.  ``total`` counts occurrences and
-    ``spread`` is the sum of c ln c over counts c per page, which give the
-    entropy over pages.  A page sends each item once and tasks combine them, so
-    a host with a third of the pages costs no task more than its distinct items.
+    One row per content feature (``kind`` 1), child style (2) or the node itself
+    (0, ``item`` the kind it stands for) at a style path; all blocks count,
+    whatever their names hint.  ``total`` counts occurrences, for a node of
+    contents its characters outside of links and hinted parts, and ``spread`` is
+    the sum of c ln c over counts c per page, which give the entropy over pages.
+    A page sends each item once and tasks combine them, so a host with a third
+    of the pages costs no task more than its distinct items.
     """
+    names, short_words = style.names, style.short_words
 
     def run(batch: pa.RecordBatch):
         hosts, rows = batch.column(0).to_pylist(), []
         for host, html in zip(hosts, batch.column(1).to_pylist()):
-            blocks, styles = parse(html or "")
-            found: Counter = Counter()
+            blocks, styles = parse(html or "", names)
+            found, texts = Counter(), Counter()
             for b in blocks:
-                if not b.noise:
-                    found[_mark(b.path), _mark(b.parent), 1, _mark(b.text)] += 1
-            found.update((_mark(path), 0, 2, _mark(style)) for path, style in styles)
-            found.update({(key[0], key[1], 0, key[2]): 1 for key in list(found)})
+                path, parent = _mark(b.path), _mark(b.parent)
+                found.update((path, parent, 1, _mark(item)) for item in features(b.text, short_words))
+                texts[path, parent, 0, 1] += 0 if b.noise else b.weight
+            shown = [(_mark(path), 0, 2, _mark(layout)) for path, layout in styles]
+            found.update(shown)
+            found.update({(key[0], key[1], 0, 2): 1 for key in shown})
+            found.update(texts)
             rows += [(host, *key, n) for key, n in found.items()]
         if rows:
             host, path, parent, kind, item, n = zip(*rows)
@@ -319,7 +363,7 @@ def style_nodes(pages: DataFrame) -> DataFrame:
                     pa.array(kind, pa.int32()),
                     pa.array(item, pa.int64()),
                     pa.array(count),
-                    pa.array(count * np.log(count)),
+                    pa.array(count * np.log(np.maximum(count, 1))),
                 ],
                 names=["host", "path", "parent", "kind", "item", "n", "spread"],
             )
@@ -332,25 +376,28 @@ def style_nodes(pages: DataFrame) -> DataFrame:
 
 
 def noisy_paths(pages: DataFrame, style: Style = Style()) -> DataFrame:
-    """``host, paths``: style paths whose branch is of low importance.
+    """``host, paths, behind``: style paths whose branch is of low importance.
 
     A content node over m pages has importance 1 minus the mean entropy, to
-    base m + 1, of its contents over pages: a text that all pages share tells
+    base m + 1, of its features over pages: a word that all pages share tells
     nothing.  An element has the entropy, to base m + 1, of its child styles: one
     layout for all pages tells nothing either.  The page more that is counted, as
     one that shares nothing, asks the more agreement the fewer pages there are:
-    of two pages nearly all contents must agree.  A branch is noise if both its
-    contents and the element that holds it fall under the threshold.
+    of two pages nearly all contents must agree.  A branch is noise (``paths``)
+    if both its contents and the element that holds it fall under the
+    threshold.  It is ``behind`` if the mean of both lies that far under the
+    mean of the branch that holds most of the site's text: menus and adverts of
+    other words on every page still keep one layout, articles do not.
     """
-    nodes = style_nodes(pages)
-    # Marks of a node carry the kind they stand for in ``item``.
-    content = F.col("kind") == 1
+    nodes = style_nodes(pages, style)
+    content, node = F.col("kind") == 1, F.col("kind") == 0
     entropy = F.ln("total") - F.col("spread") / F.col("total")
     by_path = stage(
         nodes.groupBy("host", "path", "parent").agg(
             F.avg(F.when(content, entropy)).alias("entropy"),
-            F.max(F.when((F.col("kind") == 0) & (F.col("item") == 1), F.col("pages"))).alias("m"),
-            F.max(F.when((F.col("kind") == 0) & (F.col("item") == 2), F.col("pages"))).alias("ms"),
+            F.max(F.when(node & (F.col("item") == 1), F.col("pages"))).alias("m"),
+            F.max(F.when(node & (F.col("item") == 1), F.col("total"))).alias("chars"),
+            F.max(F.when(node & (F.col("item") == 2), F.col("pages"))).alias("ms"),
             F.sum(F.when(F.col("kind") == 2, F.col("total"))).alias("styles"),
             F.sum(F.when(F.col("kind") == 2, F.col("total") * F.ln("total"))).alias("styles_ln"),
         ),
@@ -361,19 +408,39 @@ def noisy_paths(pages: DataFrame, style: Style = Style()) -> DataFrame:
         F.col("path").alias("_path"),
         ((F.ln("styles") - F.col("styles_ln") / F.col("styles")) / F.ln(F.col("ms") + 1)).alias("look"),
     )
-    leaves = by_path.where(F.col("m") >= style.least_pages).withColumn("told", 1 - F.col("entropy") / F.ln(F.col("m") + 1))
-    low = leaves.where(F.col("told") < style.threshold).join(
-        shown, (F.col("host") == F.col("_host")) & (F.col("parent") == F.col("_path")), "left"
+    leaves = (
+        by_path.where(F.col("m") >= style.least_pages)
+        .join(shown, (F.col("host") == F.col("_host")) & (F.col("parent") == F.col("_path")), "left")
+        .select(
+            "host",
+            "path",
+            "chars",
+            (1 - F.col("entropy") / F.ln(F.col("m") + 1)).alias("told"),
+            F.coalesce("look", F.lit(0.0)).alias("look"),
+        )
+        .withColumn("importance", (F.col("told") + F.col("look")) / 2)
+    )
+    best = F.max_by("importance", F.struct("chars", "path"))
+    main = leaves.where("chars > 0").groupBy("host").agg(best.alias("main"))
+    low = (F.col("told") < style.threshold) & (F.col("look") < style.threshold)
+    behind = F.col("importance") < F.col("main") - style.behind
+    judged = leaves.join(main, "host", "left").select("host", "path", low.alias("low"), (~low & behind).alias("far"))
+    return (
+        judged.where("low OR far")
+        .groupBy("host")
+        .agg(
+            F.collect_set(F.when(F.col("low"), F.col("path"))).alias("paths"),
+            F.collect_set(F.when(F.col("far"), F.col("path"))).alias("behind"),
+        )
     )
-    noise = low.where(F.coalesce("look", F.lit(0.0)) < style.threshold)
-    return noise.groupBy("host").agg(F.collect_set("path").alias("paths"))
 
 
 def extract(pages: DataFrame, style: Style = Style()) -> DataFrame:
     """Main text of every page: ``page_id, url, text, n_chars``.
 
     The pages of a host are merged into a style tree and its branches of low
-    importance are cut from each page, whether it marks its article or not.
+    importance are cut from each page, whether it marks its article or not; where
+    it marks none, so are those far behind the main branch.
     Elements that state their role come first: menus, headers, footers,
     sidebars, forms, adverts, notices and reader comments go by element, role,
     class or id, but none that holds most of a page's text: there the tree
@@ -388,10 +455,12 @@ def extract(pages: DataFrame, style: Style = Style()) -> DataFrame:
     noise = stage(noisy_paths(pages, style), "noisy-paths")
     kind = pages.schema["page_id"].dataType.simpleString()
 
+    names = style.names
+
     def run(batch: pa.RecordBatch):
         texts = []
-        for html, noisy in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            texts.append(main_text(parse(html or "")[0], set(noisy or ())))
+        for html, noisy, behind in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
+            texts.append(main_text(parse(html or "", names)[0], set(noisy or ()), set(behind or ())))
         lengths = pa.array([len(t) for t in texts], pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), lengths],
@@ -400,5 +469,5 @@ def extract(pages: DataFrame, style: Style = Style()) -> DataFrame:
 
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(noise, "host", "left")
     return map_batches(
-        rows.select("page_id", "url", "html", "paths"), run, f"page_id {kind}, url string, text string, n_chars bigint"
+        rows.select("page_id", "url", "html", "paths", "behind"), run, f"page_id {kind}, url string, text string, n_chars bigint"
     )

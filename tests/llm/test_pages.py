@@ -5,6 +5,7 @@ import hashlib
 import html as entities
 import io
 import re
+from collections import Counter
 
 import pytest
 
@@ -40,6 +41,10 @@ def text_of(html):
         ("<div class='adventure'>kept</div><div class='ad'>gone</div>", "kept"),
         ("<article><p>a</p></article><article class='comment'><p>c</p></article>", "a"),
         ("<a" + " x='" * 5000, ""),
+        ("<p>a<svg/> b</p><p>c</p>", "a b\nc"),
+        ("<p>a <select> b</p><p>c <svg>d</p>", "a b\nc d"),
+        ("<p>so <math><mi>x</mi><annotation>\\x</annotation></math> holds</p>", "so x holds"),
+        ("<article><p>long enough</p><p class='banner-year'>b</p><h2 class='promotion-history'>h</h2><p class='ad'>x</p></article>", "long enough\nb\nh"),
     ],
 )
 def test_main_text_of_one_page(html, text):
@@ -69,15 +74,46 @@ def test_pages_of_the_test_data(spark, data):
     rows = pages.collect()
     assert len(found) == len(rows)
     for r in rows:
-        body = r["html"][r["html"].index("<article>") : r["html"].index("</article>")].replace("<br>", " ")
-        parts = [
-            " ".join(entities.unescape(re.sub(r"<[^>]+>", "", part)).split())
-            for part in re.split(r"</?(?:p|h1|article)>", body)
-        ]
-        text = "\n".join(p for p in parts if p)
+        text = _article(r["html"])
         assert (found[r["page_id"]]["text"], found[r["page_id"]]["n_chars"]) == (text, len(text))
 
 
+def _article(html):
+    body = html[html.index("<article>") : html.index("</article>")].replace("<br>", " ")
+    parts = [
+        " ".join(entities.unescape(re.sub(r"<[^>]+>", "", part)).split())
+        for part in re.split(r"</?(?:p|h1|article)>", body)
+    ]
+    return "\n".join(p for p in parts if p)
+
+
+def test_style_tree_alone_finds_articles(spark, data):
+    """Without any hint by name the tree cuts menus, adverts and footers that
+    differ from page to page."""
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    found = {r["page_id"]: r["text"] for r in extract(pages, Style(names=False)).collect()}
+    rows = pages.collect()
+    assert all(set(_article(r["html"]).split("\n")) <= set(found[r["page_id"]].split("\n")) for r in rows)
+    hosts = [(r["html"], found[r["page_id"]], r["url"].split("/")[2].lower()) for r in rows if r["url"]]
+    many = Counter(host for _, _, host in hosts)
+    judged = [text == _article(page) for page, text, host in hosts if many[host] >= 15]
+    assert judged and sum(judged) >= 0.98 * len(judged), (sum(judged), len(judged))
+
+
+def test_branches_behind_the_main_one(spark):
+    """Adverts with other words on every page go; headings and pages of another layout stay."""
+    rows = []
+    for k in range(30):
+        body = "".join(f"<p>{k} long own text number {j} of page {k}</p>" for j in range(1 + k % 5))
+        rows.append((k, "http://a.example/", f"<div class=q1>buy {k}</div><div class=q2><h1>title {k}</h1></div><div class=q3>{body}</div>"))
+    rows.append((99, "http://a.example/", "<div class=q1>only this</div>"))
+    found = {r["page_id"]: r["text"] for r in extract(frame(spark, rows)).collect()}
+    assert found.pop(99) == "only this"
+    assert found == {
+        k: "\n".join([f"title {k}", *[f"{k} long own text number {j} of page {k}" for j in range(1 + k % 5)]]) for k in range(30)
+    }
+
+
 def _site(n):
     """Pages without any stated role: a shared line, a slogan from a few, own text."""
     rows = []
