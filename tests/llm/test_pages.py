@@ -104,13 +104,14 @@ def test_branches_behind_the_main_one(spark):
     """Adverts with other words on every page go; headings and pages of another layout stay."""
     rows = []
     for k in range(30):
-        body = "".join(f"<p>{k} long own text number {j} of page {k}</p>" for j in range(1 + k % 5))
+        body = "".join(f"<p>{k} long own text number {j} of page {k}, which goes on for more than twelve words</p>" for j in range(1 + k % 5))
         rows.append((k, "http://a.example/", f"<div class=q1>buy {k}</div><div class=q2><h1>title {k}</h1></div><div class=q3>{body}</div>"))
     rows.append((99, "http://a.example/", "<div class=q1>only this</div>"))
     found = {r["page_id"]: r["text"] for r in extract(frame(spark, rows)).collect()}
     assert found.pop(99) == "only this"
     assert found == {
-        k: "\n".join([f"title {k}", *[f"{k} long own text number {j} of page {k}" for j in range(1 + k % 5)]]) for k in range(30)
+        k: "\n".join([f"title {k}", *[f"{k} long own text number {j} of page {k}, which goes on for more than twelve words" for j in range(1 + k % 5)]])
+        for k in range(30)
     }
 
 
