@@ -14,6 +14,7 @@ from loomwork.operators.profile import (
     frequent_exact,
     frequent_values,
     pair_statistics,
+    profile,
     sample_by_hash,
     sample_rows,
 )
@@ -250,6 +251,30 @@ def summary_stats(t):
     return found.select("summary", *[F.round(n, 3).alias(n) for n in names])
 
 
+@query("""
+    SELECT 'pairs' AS part, 'l_quantity, l_extendedprice' AS item,
+           round(corr(l_quantity, l_extendedprice), 6) AS value FROM lineitem
+    UNION ALL SELECT 'summary', 'count l_quantity', count(l_quantity) FROM lineitem
+    UNION ALL SELECT 'summary', 'min l_quantity', min(l_quantity) FROM lineitem
+    UNION ALL SELECT 'summary', 'max l_quantity', max(l_quantity) FROM lineitem
+    UNION ALL SELECT 'sample', 'rows within bounds', 1
+""")
+def profile_bundle(t):
+    """The exploratory set of one table, its parts brought under each other."""
+    lines = t.lineitem.select("l_quantity", "l_extendedprice", "l_returnflag")
+    found = profile(lines, [("l_quantity", "l_extendedprice")], ["l_returnflag"], fraction=0.5)
+    pairs = found["pairs"].select(
+        F.lit("pairs").alias("part"), F.concat_ws(", ", "x", "y").alias("item"), F.round("correlation", 6).alias("value")
+    )
+    summary = found["summary"].where("summary in ('count', 'min', 'max')").select(
+        F.lit("summary"), F.concat(F.col("summary"), F.lit(" l_quantity")), F.col("l_quantity").cast("double")
+    )
+    taken = found["sample"].agg(F.count(F.lit(1)).alias("k"), F.lit(0).alias("n"))
+    share = taken.union(lines.agg(F.lit(0), F.count(F.lit(1)))).agg(F.sum("k").alias("k"), F.sum("n").alias("n"))
+    sample = share.select(F.lit("sample"), F.lit("rows within bounds"), (F.abs(F.col("k") / F.col("n") - 0.5) < 0.1).cast("double"))
+    return pairs.union(summary).union(sample)
+
+
 @query("""
     SELECT 'count' AS summary, CAST(count(p_size) AS VARCHAR) AS p_size FROM part
     UNION ALL SELECT 'min', CAST(min(p_size) AS VARCHAR) FROM part

@@ -7,7 +7,10 @@ a source would deliver it, and returns what the reader under test makes of it.
 from pyspark.sql import functions as F
 
 from loomwork.catalog.registry import portable, query
+from loomwork.operators.cleanse import require_not_null
 from loomwork.operators.evolve import combine
+from loomwork.operators.layout import parts_for
+from loomwork.operators.quality import tried
 from loomwork.operators.sets import rows_only_in
 from loomwork.operators.skew import skew_join
 from loomwork.session import scratch_path, table_of
@@ -15,6 +18,7 @@ from loomwork.sources.files import (
     LENIENT_JSON,
     SourceSpec,
     impose_schema,
+    lines_below_headers,
     load,
     query_files,
     split_rejects,
@@ -113,6 +117,63 @@ def csv_drop_malformed_count(t):
     return rows.agg(F.count("*").alias("n"))
 
 
+@query(f"""
+    SELECT 'permissive' AS mode, CAST(count(*) AS DOUBLE) AS n, CAST(NULL AS VARCHAR) AS failed FROM orders
+    UNION ALL SELECT 'dropmalformed', count(*), NULL FROM ({_GOOD_SQL})
+    UNION ALL SELECT 'failfast', CASE WHEN count(*) = 0 THEN 0 END,
+                     CASE WHEN count(*) > 0 THEN 'MALFORMED_RECORD_IN_PARSING' END
+              FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 'failfast, clean lines', count(*), NULL FROM ({_GOOD_SQL})
+""")
+def csv_modes(t):
+    """What each reading mode makes of the same broken lines: rows, or a failed job."""
+    path = _written(t, _broken_lines(t), "text", "modes")
+    good = _written(t, _broken_lines(t).where("value not like '%,open'"), "text", "modes-good")
+    rows = []
+    for mode, files in (("permissive", path), ("dropmalformed", path), ("failfast", path), ("failfast", good)):
+        read = load(t.spark, SourceSpec("csv", files, _BROKEN_SCHEMA, mode=mode))
+        n, failed = tried(read, "MALFORMED_RECORD_IN_PARSING")
+        rows.append((f"{mode}, clean lines" if files == good else mode, None if n is None else float(n), failed))
+    return t.spark.createDataFrame(rows, "mode string, n double, failed string")
+
+
+@query("""
+    SELECT 'id' AS key, CAST(count(*) AS DOUBLE) AS n, CAST(NULL AS VARCHAR) AS failed FROM orders
+    UNION ALL SELECT 'amt', CASE WHEN count_if(o_orderstatus = 'P') = 0 THEN count(*) END,
+                     CASE WHEN count_if(o_orderstatus = 'P') > 0 THEN 'null in required column amt' END
+              FROM orders
+""")
+def csv_required_keys(t):
+    """A read fails on a null in a required column, and passes on whole ones."""
+    path = _written(t, _broken_lines(t), "text", "required")
+    rows = []
+    for key in ("id", "amt"):
+        read = load(t.spark, SourceSpec("csv", path, _BROKEN_SCHEMA))
+        n, failed = tried(require_not_null(read, [key]), f"null in required column {key}")
+        rows.append((key, None if n is None else float(n), failed))
+    return t.spark.createDataFrame(rows, "key string, n double, failed string")
+
+
+@query("""
+    SELECT CAST(c_custkey AS VARCHAR) || ',' || c_name AS line FROM customer
+    UNION ALL SELECT 'id,name' FROM region
+""")
+def header_removed_by_position(t):
+    """The first line of every file goes; data lines that equal it stay."""
+    files = parts_for(t.customer, 1_000_000, least=4)
+    named = t.customer.select(
+        F.pmod(F.xxhash64("c_custkey"), F.lit(files)).alias("file"),
+        F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value"),
+    )
+    alike = t.region.select(F.pmod(F.xxhash64("r_regionkey"), F.lit(files)).alias("file"), F.lit("id,name").alias("value"))
+    data = named.union(alike)
+    header = data.select("file").distinct().select("file", F.lit("id,name").alias("value"), F.lit(0).alias("place"))
+    lines = data.withColumn("place", F.lit(1)).union(header).repartition(files, "file")
+    path = scratch_path(t.spark, "headers")
+    lines.sortWithinPartitions("file", "place").select("file", "value").write.partitionBy("file").text(path)
+    return lines_below_headers(t.spark, path).select(F.col("value").alias("line"))
+
+
 @query("""
     SELECT CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) || ',P,open' AS value
     FROM orders WHERE o_orderstatus = 'P'
@@ -183,10 +244,10 @@ def json_lenient(t):
 def json_multiline(t):
     """Files that each hold one JSON array spread over many lines.
 
-    Such a file is read by one task, so the rows are spread over as many files
-    as there are shuffle partitions.
+    Such a file is read by one task, so its rows are bounded and their number
+    grows with the table.
     """
-    files = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    files = parts_for(t.events, 200_000, least=8)
     counts = t.events.groupBy("user_id").agg(F.count("*").alias("n"))
     objects = counts.select(
         F.pmod(F.xxhash64("user_id"), F.lit(files)).alias("file"),
@@ -393,9 +454,12 @@ def insert_by_position(t):
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, o_totalprice FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def bucketed_join(t):
-    """Two tables bucketed alike join without a shuffle, unless a key is heavy."""
+    """Two tables bucketed alike join without a shuffle, unless a key is heavy.
+
+    A bucket is read by one task, so their number grows with the larger table.
+    """
     left, right = scratch_path(t.spark, "bucket-l"), scratch_path(t.spark, "bucket-r")
-    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = parts_for(t.lineitem, 1_000_000, least=8)
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     save(lines, SinkSpec("parquet", left, table_of(left), bucket_by=(buckets, ["l_orderkey"])))
     orders = t.orders.select("o_orderkey", "o_totalprice")

@@ -1,5 +1,8 @@
 """Joins, lookups and membership."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.catalog.registry import portable, query
@@ -17,6 +20,27 @@ from loomwork.operators.metrics import money_sum
 from loomwork.operators.skew import skew_join
 
 
+_COUNTED = "(SELECT DISTINCT o_custkey AS a FROM orders WHERE o_orderpriority <> '1-URGENT')"
+_RICH = "(SELECT c_custkey AS b FROM customer WHERE c_acctbal > 0)"
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{how}' AS how, count(*) AS n FROM {_COUNTED} l {how} JOIN {_RICH} r ON a = b"
+        for how in ("inner", "left", "right", "full")
+    )
+)
+def join_row_counts(t):
+    """Rows by join type over unique keys: full is left plus right less inner."""
+    left = t.orders.where("o_orderpriority <> '1-URGENT'").select(F.col("o_custkey").alias("a")).distinct()
+    right = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("b"))
+    counts = [
+        skew_join(left, right, [("a", "b")], how).agg(F.count(F.lit(1)).alias("n")).select(F.lit(how).alias("how"), "n")
+        for how in ("inner", "left", "right", "full")
+    ]
+    return reduce(DataFrame.union, counts)
+
+
 @query("""
     SELECT o_orderkey, o_totalprice, c_custkey, c_name
     FROM orders JOIN customer ON o_custkey = c_custkey

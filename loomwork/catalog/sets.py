@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from loomwork.catalog.registry import portable, query
+from loomwork.operators.columns import shared_columns
 from loomwork.operators.evolve import combine, union_by_name, union_padded
 from loomwork.operators.joins import upsert
 from loomwork.operators import sets
@@ -75,6 +76,18 @@ def union_by_name_missing(t):
     return portable(union_by_name([people, firms]), "nation")
 
 
+@query("""
+    SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation FROM customer
+    UNION ALL SELECT s_suppkey, s_name, s_nationkey FROM supplier
+""")
+def union_shared_columns(t):
+    """Two layouts cut to the columns both have, in the order of the first."""
+    people = t.customer.selectExpr("c_custkey as id", "c_name as name", "c_mktsegment as segment", "c_nationkey as nation")
+    firms = t.supplier.selectExpr("s_nationkey as nation", "s_name as name", "s_suppkey as id")
+    both = shared_columns(people, firms)
+    return people.select(*both).union(firms.select(*both))
+
+
 @query("""
     SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, -1 AS nation FROM customer
     UNION ALL

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from loomwork.catalog.registry import portable, query
 from loomwork.operators.cleanse import wide_enough
-from loomwork.operators.layout import partition_sizes
+from loomwork.operators.layout import cached, cut_lineage, layout, partition_sizes
 from loomwork.operators.metrics import money_sum
 from loomwork.operators.text import level_counts, tokens, without_header, zip_rows
 from loomwork.operators.text import word_count as count_words
@@ -111,6 +111,25 @@ def partition_row_counts(t):
     return partition_sizes(t.lineitem).agg(F.sum("n").alias("n"))
 
 
+@query("""
+    SELECT 'laid out' AS step, count(*) AS n, count(DISTINCT o_custkey) AS keys FROM orders
+    UNION ALL SELECT 'cached', count(*), count(DISTINCT o_custkey) FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT 'checkpointed', count(*), count(DISTINCT o_custkey) FROM orders WHERE o_orderstatus <> 'O'
+""")
+def layout_steps(t):
+    """One table laid out by key once, two readers of the kept copy, lineage cut after each."""
+
+    def counts(df, step):
+        keys = F.count_distinct("o_custkey").alias("keys")
+        return df.agg(F.count(F.lit(1)).alias("n"), keys).select(F.lit(step).alias("step"), "n", "keys")
+
+    with cached(layout(t.orders.select("o_custkey", "o_orderstatus"), by=["o_custkey"])) as kept:
+        whole = cut_lineage(counts(kept, "laid out"))
+        opened = cut_lineage(counts(kept.where("o_orderstatus = 'O'"), "cached"))
+        rest = cut_lineage(kept.where("o_orderstatus <> 'O'"))
+    return whole.union(opened).union(counts(rest, "checkpointed"))
+
+
 @query(f"SELECT upper(word) AS word, count(*) AS n FROM {_WORDS} WHERE word IN ('the', 'and', 'der') GROUP BY 1")
 def words_by_sql(t):
     tokens(t.documents.select("text"), "text").select("word").createOrReplaceTempView("loomwork_words")

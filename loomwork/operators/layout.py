@@ -33,6 +33,15 @@ def layout(
     return df.repartition(partitions, *by)
 
 
+
+def parts_for(df: DataFrame, rows_each: int, least: int = 1) -> int:
+    """How many files or buckets of about ``rows_each`` rows a frame fills.
+
+    Meant for stored tables, whose row counts Spark takes from file footers.
+    """
+    return max(least, -(-df.count() // rows_each))
+
+
 @contextmanager
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Keep a frame with several consumers cached for the length of a block."""

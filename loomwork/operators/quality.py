@@ -5,9 +5,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.operators.columns import hashable_columns
+
+
+def tried(df: DataFrame, *expected: str) -> tuple[int | None, str | None]:
+    """Rows of a frame, every column computed; or which of ``expected`` it failed with.
+
+    An error that names none of the expected conditions is raised.
+    """
+    whole = F.bit_xor(F.xxhash64(*hashable_columns(df)))
+    try:
+        return df.agg(F.count(F.lit(1)).alias("n"), whole.alias("_all")).first()["n"], None
+    except (PySparkException, Py4JJavaError) as error:
+        found = next((name for name in expected if name in str(error)), None)
+        if found is None:
+            raise
+        return None, found
+
 
 def quality_report(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
     """One row per column: counts, uniqueness and completeness in percent.

@@ -41,6 +41,19 @@ class SourceSpec:
     options: Mapping[str, str] = field(default_factory=dict)
 
 
+
+def lines_below_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Lines of text files without the first of each file, whatever it says.
+
+    A line further down that equals the header stays.  Spark knows which task
+    holds the start of a file, so files are still split and nothing moves.
+    Blank lines go, as they do in any delimited file, and a header is the first
+    line that is not blank; lines hold no character 1.
+    """
+    whole = {"quote": "", "escape": "", "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}
+    return load(spark, SourceSpec("csv", path, "value STRING", sep="\u0001", header=True, options=whole))
+
+
 def load(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Read a source; lazy, apart from schema inference when asked for."""
     reader = spark.read.format(spec.format)

@@ -4,12 +4,14 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from loomwork.operators.cleanse import require_not_null
 from loomwork.operators.evolve import combine, union_by_name, union_padded
-from loomwork.operators.quality import schema_diff
+from loomwork.operators.quality import schema_diff, tried
 from loomwork.sources.files import (
     LENIENT_JSON,
     SourceSpec,
     impose_schema,
+    lines_below_headers,
     load,
     query_files,
     split_rejects,
@@ -279,3 +281,32 @@ def test_jdbc_options_keep_secrets_out_of_the_url(tmp_path):
         read_options(connection)
     with pytest.raises(FileNotFoundError):
         connection_from_file(str(tmp_path / "none"), "d")
+
+
+def test_first_line_of_each_file_goes(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.txt").write_text('head,"x\nbody\nhead,"x\n\n last \\ ,\n')
+    (folder / "b.txt").write_text("other\n" + "head\n" * 3)
+    (folder / "c.txt").write_text("alone")
+    (folder / "d.txt").write_text("")
+    found = sorted(r[0] for r in lines_below_headers(spark, str(folder)).collect())
+    assert found == sorted(["body", 'head,"x', " last \\ ,", "head", "head", "head"])
+    # Only the task that holds the start of a file drops a line.
+    (folder / "e.txt").write_text("first\n" + "row\n" * 50_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        lines = lines_below_headers(spark, str(folder / "e.txt"))
+        assert lines.rdd.getNumPartitions() > 5 and values(lines.groupBy("value").count()) == [("row", 50_000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_tried_reports_only_what_it_expects(spark):
+    df = spark.range(10).select(F.when(F.col("id") != 3, F.col("id")).alias("k"), F.lit("x").alias("v"))
+    assert tried(df) == (10, None)
+    assert tried(require_not_null(df, ["v"]), "null in") == (10, None)
+    assert tried(require_not_null(df, ["k"]), "other", "null in") == (None, "null in")
+    with pytest.raises(Exception, match="null in required"):
+        tried(require_not_null(df, ["k"]), "MALFORMED")
+    assert tried(df.limit(0)) == (0, None)
