@@ -20,8 +20,8 @@ BIN_BITS = 8
 BINS = 1 << BIN_BITS
 # Bits kept of each bin's value to judge pairs by.
 MARK_BITS = 2
-# Counters of hashed shingles that order them by rarity.
-COUNTER_BITS = 18
+# Shingles whose counts order them by rarity: the most frequent ones, at most so many.
+ORDERED = 1 << 20
 MARK_WORDS = BINS * MARK_BITS // 64
 # Sets of so few shingles leave most bins empty, and what shares a bin by chance
 # weighs much: pairs are judged on full sets only up to ``UNMARKED`` shingles,
@@ -192,7 +192,9 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
        shingles of each, down to a length that the similarity fixes, must share
        one (prefix filter).  Classes in such buckets are paired by these, again
        only across components and past the bits, and confirmed.  A passage that
-       many texts share is no rare shingle of theirs, so they do not all meet.
+       many texts share is no rare shingle of theirs, so they do not all meet,
+       and members of the component that most of a shingle's texts belong to are
+       compared with the others only.
        Classes of few shingles, whose buckets are less sure, are all paired so.
 
     Texts without a word, null included, are linked with nothing.  Rows that
@@ -251,15 +253,18 @@ def _links(classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
     if loose.isEmpty():
         return links
     rare = _rare_shingles(texts.join(loose.select(F.col("rep").alias("doc_id")), "doc_id"), near)
-    met = rare.join(loose, "rep")
-    met = stage(met.join(_of_several(met, "key"), "key"), "rare-shingles").join(bits, "rep")
-    one, other = _side(met, "a"), _side(met, "b")
-    apart = (F.col("component_a") != F.col("component_b")) & (F.col("a") > F.col("b"))
+    met = _across(stage(rare.join(loose, "rep"), "rare-shingles")).join(bits, "rep")
+    one, other = _side(met.where("component <> hub"), "a"), _side(met, "b")
+    # Two members outside of the hub meet twice.
+    apart = (F.col("component_a") != F.col("component_b")) & (
+        (F.col("component_b") == F.col("hub_b")) | (F.col("a") > F.col("b"))
+    )
     # What follows the first shared shingle in either order bounds the overlap
     # (positional filter).
     rest = F.least(F.col("n_shingles_a") - F.col("place_a"), F.col("n_shingles_b") - F.col("place_b"))
     enough = (100 + near.percent) * rest >= near.percent * (F.col("n_shingles_a") + F.col("n_shingles_b"))
-    pairs = one.join(other, (one["key"] == other["key"]) & apart & enough & _alike(near)).select("a", "b").distinct()
+    pairs = one.join(other, (one["key"] == other["key"]) & apart & enough & _alike(near))
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     return links.unionByName(stage(verified(pairs, texts, near), "confirmed"))
 
 
@@ -269,33 +274,59 @@ def _of_several(placed: DataFrame, key: str) -> DataFrame:
     return spans.where("_least <> _most").select(key)
 
 
+def _across(met: DataFrame) -> DataFrame:
+    """Rows under keys that several components share, with the ``hub`` of the key.
+
+    The hub is the component with most rows under the key.  To compare rows of
+    different components it is enough to pair those outside of the hub with all:
+    a large component costs a key its rows times those of the others.
+    """
+    counts = met.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_n"))
+    hubs = counts.groupBy("key").agg(
+        F.max_by("component", F.struct("_n", "component")).alias("hub"), F.count(F.lit(1)).alias("_components")
+    )
+    return met.join(hubs.where("_components > 1").select("key", "hub"), "key")
+
+
 def _rare_shingles(docs: DataFrame, near: Near) -> DataFrame:
     """``rep, key, place``: the rarest shingles of each text that a similar set must touch.
 
     Sets of similarity s that are ordered alike share an element among the first
     |A| - ceil(s |A|) + 1 of each, whatever the order; ``place`` is that in the
-    order, from 0.  The order is by counts of
-    hashed shingles, a table of a fixed number of counters, then by hash.
+    order, from 0.  The order is by the number of texts, then by hash.  All
+    shingles are counted; counts under a power of two, the least that leaves
+    ``ORDERED`` shingles at most, are taken as equal.
     """
-    slots = (1 << COUNTER_BITS) - 1
 
     def count(batch: pa.RecordBatch):
         sets = shingle_sets(batch.column(1), near.shingle)
         if sets:
-            slot, n = np.unique((np.concatenate(sets) & np.uint64(slots)).astype(np.int32), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n)], names=["slot", "n"])
-
-    counted = map_batches(docs.select("doc_id", "text"), count, "slot int, n bigint", max_bytes=4 << 20)
-    # A table of at most 2 ** COUNTER_BITS rows, whatever the data.
-    rows = counted.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(slots + 1, np.int64)
-    counts[rows["slot"].to_numpy()] = rows["n"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+            own, n = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int64)), pa.array(n)], names=["shingle", "n"])
+
+    counted = map_batches(docs.select("doc_id", "text"), count, "shingle bigint, n bigint", max_bytes=4 << 20)
+    several = stage(counted.groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1"), "shingle-counts")
+    # One row per power of two.
+    powers = several.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).agg(F.count(F.lit(1)).alias("n"))
+    least, room = 63, ORDERED
+    for power, n in sorted(map(tuple, powers.collect()), reverse=True):
+        if n > room:
+            break
+        least, room = power, room - n
+    # At most ORDERED rows, whatever the data.
+    rows = several.where(F.floor(F.log2("n")) >= least).toArrow()
+    frequent = rows["shingle"].to_numpy().astype(np.uint64)
+    order = np.argsort(frequent)
+    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], rows["n"].to_numpy()[order]))
 
     def first(batch: pa.RecordBatch):
-        table, keys, lengths = shared.value, [], []
+        (known, counts), keys, lengths = shared.value, [], []
         for own in shingle_sets(batch.column(1), near.shingle):
-            order = np.lexsort((own, table[(own & np.uint64(slots)).astype(np.int64)]))
+            n = np.zeros(len(own), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                n = np.where(known[at] == own, counts[at], 0)
+            order = np.lexsort((own, n))
             size = len(own) + (near.percent * len(own)) // -100 + 1 if len(own) else 0
             keys.append(own[order[:size]])
             lengths.append(size)
@@ -303,7 +334,7 @@ def _rare_shingles(docs: DataFrame, near: Near) -> DataFrame:
             [
                 batch.column(0).take(pa.array(np.repeat(np.arange(len(lengths)), lengths))),
                 pa.array(np.concatenate(keys).astype(np.int64) if keys else np.zeros(0, np.int64)),
-                pa.array(np.concatenate([np.arange(n) for n in lengths]) if keys else np.zeros(0, np.int64)),
+                pa.array(np.concatenate([np.arange(size) for size in lengths]) if keys else np.zeros(0, np.int64)),
             ],
             names=["rep", "key", "place"],
         )

@@ -6,10 +6,12 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cases import AWKWARD, docs_frame, prose
 from loomwork.llm.exact import drop_exact_duplicates, exact_duplicates
 from loomwork.llm.graph import components
+from loomwork.llm import minhash
 from loomwork.llm.minhash import BINS, Near, drop_near_duplicates, near_duplicates, shingle_sets, signature
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -116,6 +118,33 @@ def test_near_finds_every_pair_of_short_texts(spark, bands):
     assert {r["doc_id"]: r["component_id"] for r in found} == {i: i - i % 2 for i, _ in rows}
 
 
+@pytest.mark.parametrize("n", [500, 2000])
+def test_near_large_component_meets_outsiders_only(spark, n):
+    """What is compared under a key grows with a large component, not with its square."""
+    rows = [(k, 1, 0) for k in range(n)] + [(n + k, 1, n + k) for k in range(5)]
+    rows += [(k, 2, 0) for k in range(n)]
+    met = minhash._across(spark.createDataFrame(rows, "rep bigint, key bigint, component bigint"))
+    per_key = met.groupBy("key").agg(F.count_if(F.expr("component <> hub")).alias("outside"), F.count("*").alias("n"))
+    assert [tuple(r) for r in per_key.collect()] == [(1, 5, n + 5)]
+
+
+@pytest.mark.parametrize("ordered", [0, 40, 1 << 20])
+def test_near_classes_hold_in_any_order_of_shingles(spark, monkeypatch, ordered):
+    monkeypatch.setattr(minhash, "ORDERED", ordered)
+    monkeypatch.setattr(minhash, "SMALL", 1000)
+    rows = _near_rows()
+    found = near_duplicates(docs_frame(spark, rows), Near(bands=1)).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=str) == _brute(rows, 4)
+
+
+def test_rare_shingles_leave_out_what_texts_share(spark):
+    passage = prose(1, 40)
+    rows = [(k, " ".join(prose(50 + k, 30) + passage)) for k in range(30)]
+    rare = minhash._rare_shingles(docs_frame(spark, rows), Near()).collect()
+    assert {r["rep"] for r in rare} == set(range(30))
+    assert len({r["key"] for r in rare}) == len(rare)
+
+
 def test_near_awkward_rows(spark):
     found = near_duplicates(docs_frame(spark, AWKWARD)).collect()
     assert len(found) == len(AWKWARD)
