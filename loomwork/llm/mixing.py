@@ -12,6 +12,8 @@ from loomwork.session import stage
 
 # Rows of one key range of one source that a task sorts.
 RANGE_ROWS = 5_000
+# Weights that count as one for cutting ranges: steps of an eighth of a power of two.
+WEIGHT_STEPS = 8
 
 
 def source_targets(
@@ -66,6 +68,28 @@ def exponential_key(doc_id: Column, text: Column, weight: Column, seed: str = "m
     return -F.ln((number + 0.5) / F.lit(float(1 << 52))) / weight
 
 
+def weight_class(weight: Column) -> Column:
+    """Step of a weight on a scale of eighths of powers of two, from -512 to 512; null counts as 1."""
+    step = F.round(WEIGHT_STEPS * F.log2(weight))
+    return F.greatest(F.lit(-512.0), F.least(F.lit(512.0), F.coalesce(step, F.lit(0.0)))).cast("int")
+
+
+def key_range(key: Column, classes: Column, range_rows: int) -> Column:
+    """Number of the range of about ``range_rows`` rows of its source that a key falls in.
+
+    ``classes`` holds how many rows of the source have each class of weight, in a
+    fixed order.  Rows of weight w have a smaller key with the chance
+    1 - exp(-w key); the sum over the classes is the expected place of the key,
+    which never falls as the key grows.
+    """
+    earlier = F.aggregate(
+        classes,
+        F.lit(0.0),
+        lambda n, c: n + c["n"] * (1 - F.exp(-key * F.pow(F.lit(2.0), c["class"] / F.lit(WEIGHT_STEPS)))),
+    )
+    return F.floor(earlier / F.lit(range_rows))
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
@@ -88,8 +112,8 @@ def mix(
     words, 0 for null texts; documents of size 0 are never taken beyond whole
     epochs.  A null source is a source.  Empty tables give no rows.
 
-    A source is cut into ranges of its key of about ``range_rows`` rows.  Sums
-    of ranges give each range its start, so no task orders a whole source.
+    A source is cut into ranges of its key of about ``range_rows`` rows, whatever
+    the weights: see ``key_range``.  Sums of ranges give each range its start, so no task orders a whole source.
 
     Returns ``doc_id, text_hash, source, size, source_size, target, copies, taken``.
     """
@@ -100,21 +124,26 @@ def mix(
         F.xxhash64("text").alias("text_hash"),
         exponential_key(F.col("doc_id"), F.col("text"), F.lit(1.0)).alias("_key"),
     )
+    sized = sized.withColumn("_class", F.lit(0))
     if quality is not None:
         weight = quality.select("doc_id", F.col("weight").alias("_weight"))
-        sized = sized.join(weight, "doc_id", "left").withColumn(
-            "_key", F.col("_key") / F.coalesce("_weight", F.lit(1.0))
+        sized = sized.join(weight, "doc_id", "left").withColumns(
+            {"_key": F.col("_key") / F.coalesce("_weight", F.lit(1.0)), "_class": weight_class(F.col("_weight"))}
         )
     # Sources, ranges and rows are all derived from this table; it holds no text.
     sized = stage(
-        sized.select("doc_id", "source", "size", "text_hash", "_key"), "mix-sizes"
+        sized.select("doc_id", "source", "size", "text_hash", "_key", "_class"), "mix-sizes"
+    )
+    counts = sized.groupBy("source", F.col("_class").alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    classes = counts.groupBy(F.col("source").alias("_source")).agg(
+        F.sort_array(F.collect_list(F.struct("class", "n"))).alias("_classes")
     )
-    targets = source_targets(sized, weights, share, max_epochs).withColumnRenamed("source", "_source")
-    ranges = F.greatest(F.lit(1), F.ceil(F.col("source_rows") / F.lit(range_rows)))
-    # exp(-key) lies in (0, 1) and falls as the key grows: an even cut of it.
+    targets = source_targets(sized, weights, share, max_epochs)
+    targets = targets.join(classes, F.col("source").eqNullSafe(F.col("_source"))).drop("source")
     placed = (
-        sized.join(F.broadcast(targets) if _few(targets) else targets, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_range", F.floor((1 - F.exp(-F.col("_key"))) * ranges))
+        sized.join(F.broadcast(targets) if _few(counts) else targets, F.col("source").eqNullSafe(F.col("_source")))
+        .withColumn("_range", key_range(F.col("_key"), F.col("_classes"), range_rows))
+        .drop("_classes")
         .withColumn("_epochs", F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0)))
         .withColumn("_rest", F.col("target") - F.col("_epochs") * F.col("source_size"))
     )
@@ -148,9 +177,9 @@ def mix(
     )
 
 
-def _few(targets: DataFrame) -> bool:
-    """Whether there are at most 10,000 sources, so that their table can be broadcast."""
-    return targets.limit(10_001).count() <= 10_000
+def _few(counts: DataFrame) -> bool:
+    """Whether there are at most 10,000 sources and classes of weight, so that their table can be broadcast."""
+    return counts.limit(10_001).count() <= 10_000
 
 
 def quality_weights(labels: DataFrame, good: float = 2.0, poor: float = 0.5) -> DataFrame:

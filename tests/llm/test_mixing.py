@@ -6,9 +6,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cases import AWKWARD, docs_frame, prose
-from loomwork.llm.mixing import apply_mix, mix, quality_weights
+from loomwork.llm.mixing import apply_mix, exponential_key, key_range, mix, quality_weights, weight_class
 from loomwork.llm.packing import Lengths, pack, packed, packed_documents
 
 
@@ -200,3 +201,19 @@ def test_packing_equals_plain_best_fit(seed):
     plain = _plain_pack(sizes, lengths)
     cost = lambda rows: sum(lengths.cost(c) for c, _ in rows)
     assert cost(found) == pytest.approx(cost(plain)) and [c for c, _ in found] == [c for c, _ in plain]
+
+
+@pytest.mark.parametrize("weights", [[0.5], [3.0], [0.5, 1.0, 2.0], [0.7, 0.05, 40.0]])
+def test_ranges_are_even_whatever_the_weights(spark, weights):
+    n, size = 20_000, 100
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("id") % len(weights) + 1).cast("int"))
+    rows = spark.range(n).select(
+        exponential_key(F.col("id"), F.lit("x"), weight).alias("key"), weight_class(weight).alias("class")
+    )
+    classes = rows.groupBy("class").agg(F.count("*").alias("n"))
+    listed = classes.agg(F.sort_array(F.collect_list(F.struct("class", "n"))).alias("classes"))
+    placed = rows.crossJoin(F.broadcast(listed)).select("key", key_range(F.col("key"), F.col("classes"), size).alias("r"))
+    ranges = placed.groupBy("r").agg(F.count("*").alias("n"), F.min("key").alias("a"), F.max("key").alias("b"))
+    found = ranges.orderBy("r").collect()
+    assert max(r["n"] for r in found) < 2 * size
+    assert all(one["b"] < other["a"] for one, other in zip(found, found[1:]))
