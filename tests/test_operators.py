@@ -1,5 +1,8 @@
 """Cleansing, columns, expressions, sets and text on hand-made rows."""
 
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +148,29 @@ def test_sql_functions_are_inlined(spark):
     assert arrow.first().v == "ab n"
 
 
+def test_accents_are_stripped_in_bounded_parts(spark):
+    """A worker holds a part of a batch as Python strings, not the batch; rows stay whole and in order."""
+    rest = "plain words " * 8_000
+    texts = [None, "", "é" + "x" * 3_000_000, *(f"{i} àé ñ b\u0302 {rest}" for i in range(200)), None]
+    plain = [None, "", "e" + "x" * 3_000_000, *(f"{i} ae n b {rest}" for i in range(200)), None]
+    batch, longest = pa.array(texts[3:], pa.string()), 0
+    strip, done = sql_functions.unaccented().func, []
+    tracemalloc.start()
+    for part in strip(iter([batch, batch])):
+        longest = max(longest, part.nbytes)
+        done.append(part)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert pa.concat_arrays(done).to_pylist() == 2 * plain[3:]
+    assert batch.nbytes > 16e6
+    assert longest < 4e6
+    assert most < 8e6
+
+    rows = spark.createDataFrame([*enumerate(texts)], "id INT, v STRING").coalesce(1)
+    arrow = rows.select("id", sql_functions.unaccented()("v").alias("v")).collect()
+    assert [r.v for r in sorted(arrow)] == plain
+
+
 def test_offers_and_interest(spark):
     df = spark.createDataFrame([(800.0, "summer10"), (400.0, "summer10"), (800.0, "none")], "a DOUBLE, c STRING")
     paid = df.select(offer_price("a", coupon_percent("c")).alias("p"))
